@@ -5,8 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 _QUERIES = {
+    "op1_token_counts": ("token_counts", "op1_token_counts", None),
     "op2_exact_dedup": ("exact_dedup", "op2_exact_dedup", "OP2_SQL"),
     "op5_decontaminate": ("decontaminate", "op5_decontaminate", "OP5_SQL"),
+    "op7_minhash": ("minhash", "op7_minhash", None),
 }
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,20 @@ from pyspark.sql import functions as F
 FILTER_BITS_LOG2 = 22
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Lets Python workers that start from now on import this package from where the driver has it.
+
+    On a cluster without a common path, ship the package with --py-files.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees; `spark.checkpoint.dir` if set, else a folder for local runs."""
+    make_importable(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="topicloom-")
