@@ -9,6 +9,7 @@ _QUERIES = {
     "op2_exact_dedup": ("exact_dedup", "op2_exact_dedup", "OP2_SQL"),
     "op5_decontaminate": ("decontaminate", "op5_decontaminate", "OP5_SQL"),
     "op7_minhash": ("minhash", "op7_minhash", None),
+    "op8_sentencepiece": ("sentencepiece_sampling", "op8_sentencepiece", None),
     "op10_toxicity": ("toxicity", "op10_toxicity", None),
 }
 

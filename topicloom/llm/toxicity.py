@@ -26,7 +26,10 @@ from topicloom.llm.shared import key_filter, key_hash, make_importable, material
 TRAIN_ROWS = 20_000
 CANDIDATES, TERMS, FUZZY_TERMS, ACCIDENTS = 4000, 600, 100, 5000
 STEMS = (4, 5, 6, 7, 8)
-MIN_NEIGHBOURS, MIN_DOCS, MIN_LOG_ODDS = 3, 2, 3.0
+#: A term stands beside this many different neighbours and in this many toxic documents, or this share of them.
+MIN_NEIGHBOURS, MIN_DOCS, MIN_SHARE = 3, 2, 0.01
+#: Clean documents count this many more than seen, so that rare terms weigh little.
+MIN_LOG_ODDS, CLEAN_PRIOR = 2.5, 1.5
 WINDOW = 12
 FLAG_AT = 0.7
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -184,7 +187,7 @@ class Model:
             crowd = max(crowd, hi - lo + 1)
         n = len(tokens)
         share = 100.0 * (abuse + misspelled) / n
-        return [min(abuse, 1.0), np.log1p(abuse), np.log1p(misspelled), np.log1p(quoted), np.log1p(share), np.log1p(odds) / 2, np.log1p(crowd)]
+        return [min(odds, 40.0) / 5, np.log1p(odds), np.log1p(misspelled), np.log1p(quoted), np.log1p(share), np.log1p(abuse), np.log1p(crowd - 1)]
 
     @staticmethod
     def _quoted(low: str, tokens: list[str], spans: list[int], i: int) -> bool:
@@ -307,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         long_form.where("length(term) >= 3")
         .groupBy("kind", "term")
         .agg(F.approx_count_distinct("prev", 0.02).alias("neighbours"), F.approx_count_distinct("doc", 0.02).alias("docs"), F.approx_count_distinct("token", 0.02).alias("forms"))
-        .where((F.col("neighbours") >= MIN_NEIGHBOURS) & (F.col("docs") >= MIN_DOCS))
+        .where((F.col("neighbours") >= MIN_NEIGHBOURS) & (F.col("docs") >= max(MIN_DOCS, MIN_SHARE * pos)))
     )
     # Frequent everywhere or only here: the clean texts decide; a candidate list of fixed length goes to them.
     common = sample.where("toxic = 0").select("text")
@@ -320,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     scored = []
     for r in rows:
         n = clean.get((r.kind, r.term), 0)
-        odds = float(np.log((min(r.docs, pos) + 0.5) / (pos + 1)) - np.log((n + 0.5) / (neg + 1)))
+        odds = float(np.log((min(r.docs, pos) + 0.5) / (pos + 1)) - np.log((n + CLEAN_PRIOR) / (neg + 1)))
         if odds >= MIN_LOG_ODDS and n <= 0.05 * r.docs:
             scored.append((min(r.neighbours, 10_000) * odds, odds, r.kind, r.term))
     scored.sort(key=lambda x: (-x[0], x[2], x[3]))
