@@ -8,8 +8,10 @@ _QUERIES = {
     "op1_token_counts": ("token_counts", "op1_token_counts", None),
     "op2_exact_dedup": ("exact_dedup", "op2_exact_dedup", "OP2_SQL"),
     "op5_decontaminate": ("decontaminate", "op5_decontaminate", "OP5_SQL"),
+    "op6_chat_format": ("chat_format", "op6_chat_format", "OP6_SQL"),
     "op7_minhash": ("minhash", "op7_minhash", None),
     "op8_sentencepiece": ("sentencepiece_sampling", "op8_sentencepiece", None),
+    "op9_warc": ("warc", "op9_warc", "OP9_SQL"),
     "op10_toxicity": ("toxicity", "op10_toxicity", None),
 }
 
