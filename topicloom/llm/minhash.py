@@ -10,7 +10,8 @@
 4. Buckets of three or more whose members still lie in several components are compared again, all members of
    different components against each other, block by block in numpy. The largest component of a bucket is cut
    into blocks that meet only the other members, so a big group costs its size times the few that stay apart.
-   Survivors are verified exactly and the components formed anew.
+   A pair is compared in the first band it shares; survivors are verified exactly on the spot, and a block gives
+   only the links that join components, fewer than it has rows. Then the components are formed anew.
 
 A pair at the threshold shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 """
@@ -26,7 +27,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from topicloom.llm.components import components
 from topicloom.llm.shared import key_filter, key_hash, make_importable, materialize, maybe_in, without_keys
@@ -37,9 +37,7 @@ HASHES, BANDS, ROWS = 128, 32, 4
 BATCH = 16
 THRESHOLD = (75, 100)
 MISS = 1e-6
-BLOCK = 256
-#: Survivors tried first for each pair of components in step 4; all others follow where these failed.
-FIRST_TRIES = 4
+BLOCK = 1024
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _A = _RNG.integers(0, 2**64, HASHES, dtype=U64) | U64(1)
@@ -95,6 +93,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         sig = _matrix(b.column(1), np.uint32, HASHES).astype(U64).reshape(-1, BANDS, ROWS)
         bucket = mix((mix(sig + U64(1)) * _BAND_MIX).sum(axis=2, dtype=U64) + seeds[None, :])
+        bucket = bucket & ~U64(BANDS - 1) | np.arange(BANDS, dtype=U64)[None, :]  # the band can be read off
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket.reshape(-1).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["bucket", "rep"]
         )
@@ -115,12 +114,29 @@ def _bayes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], ["x", "y"])
 
 
+def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = list(shingle_sets(b.column(1), SHINGLE_WORDS))
+        sigs, raw = [signature(s).tobytes() for s in sets], [s.tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigs, pa.binary()), pa.array(raw, pa.binary())], ["rep", "sig", "set"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = [s.tobytes() for s in shingle_sets(b.column(1), SHINGLE_WORDS)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.large_binary()).cast(pa.binary())], ["id", "set"])
 
 
+def _linked(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sets, as sorted arrays, share enough of their union."""
+    small, large = (p, q) if len(p) < len(q) else (q, p)
+    if not len(small) or len(small) * THRESHOLD[1] < len(large) * THRESHOLD[0]:
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[at] == small).sum())
+    return common * THRESHOLD[1] >= (len(p) + len(q) - common) * THRESHOLD[0]
+
+
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (x, y, set of x, set of y) that share enough of their union."""
     for b in batches:
@@ -128,53 +144,75 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(b.num_rows):
             p = np.frombuffer(b.column(2)[i].as_buffer(), dtype=U64)
             q = np.frombuffer(b.column(3)[i].as_buffer(), dtype=U64)
-            small, large = (p, q) if len(p) < len(q) else (q, p)
-            if len(small) * THRESHOLD[1] < len(large) * THRESHOLD[0]:
-                continue
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            common = int((large[at] == small).sum()) if len(large) else 0
-            if common and common * THRESHOLD[1] >= (len(p) + len(q) - common) * THRESHOLD[0]:
+            if _linked(p, q):
                 keep.append(i)
         take = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], ["x", "y"])
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, side, rep, comp, sig) sorted by cell: survivors among the pairs of different components."""
-
-    def compare(rows: list[tuple]) -> tuple[list, list, list, list, list]:
-        side = np.array([r[1] for r in rows])
-        rep = np.array([r[2] for r in rows], dtype=np.int64)
-        comp = np.array([r[3] for r in rows], dtype=np.int64)
-        sig = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
-        a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        apart = comp[a][:, None] != comp[b][None, :]
+def _joining_links(band: int, rows: list[tuple]) -> tuple[list[int], list[int]]:
+    """Rows (cell, bucket, side, rep, comp, sig, set) of one cell: verified links that join its components."""
+    side = np.array([r[2] for r in rows])
+    rep = np.array([r[3] for r in rows], dtype=np.int64)
+    comp = np.array([r[4] for r in rows], dtype=np.int64)
+    sig = np.frombuffer(b"".join(r[5] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
+    size = np.array([len(r[6]) for r in rows], dtype=np.int64)
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(left), 64):
+        own = left[at : at + 64]
+        apart = comp[own][:, None] != comp[right][None, :]
         if side.max() > 1:  # one block with itself: each pair once
-            apart &= rep[a][:, None] < rep[b][None, :]
+            apart &= rep[own][:, None] < rep[right][None, :]
         i, j = np.nonzero(apart)
-        i, j = a[i], b[j]
+        i, j = own[i], right[j]
+        close = np.minimum(size[i], size[j]) * THRESHOLD[1] >= np.maximum(size[i], size[j]) * THRESHOLD[0]
+        i, j = i[close], j[close]
         matches = np.zeros(len(i), dtype=np.int64)
         for c in range(0, HASHES, BATCH):
             matches = matches + (sig[i, c : c + BATCH] == sig[j, c : c + BATCH]).sum(axis=1)
             ok = matches >= least_matches(c + BATCH)
             i, j, matches = i[ok], j[ok], matches[ok]
-        swap = rep[i] > rep[j]
-        x, y = np.where(swap, rep[j], rep[i]), np.where(swap, rep[i], rep[j])
-        return x, y, matches
+        same = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2)
+        first = same.argmax(axis=1) == band
+        found.append((i[first], j[first], matches[first]))
+    i, j, matches = (np.concatenate(x) for x in zip(*found, strict=True))
+    root = {int(c): int(c) for c in np.unique(comp)}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    x, y = [], []
+    for k in np.argsort(-matches, kind="stable").tolist():
+        p, q = int(i[k]), int(j[k])
+        a, b = find(int(comp[p])), find(int(comp[q]))
+        if a != b and _linked(np.frombuffer(rows[p][6], dtype=U64), np.frombuffer(rows[q][6], dtype=U64)):
+            root[max(a, b)] = min(a, b)
+            x.append(int(rep[p]))
+            y.append(int(rep[q]))
+    return x, y
 
-    def out(x, y, matches) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(matches)], ["x", "y", "matches"])
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell; a cell has at most two blocks."""
     open_cell, rows = None, []
+
+    def close() -> pa.RecordBatch:
+        x, y = _joining_links(rows[0][1] & (BANDS - 1), rows) if len(rows) > 1 else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["u", "v"])
+
     for b in batches:
         for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if r[0] != open_cell:
-                if len(rows) > 1:
-                    yield out(*compare(rows))
+                if rows:
+                    yield close()
                 open_cell, rows = r[0], []
             rows.append(r)
-    if len(rows) > 1:
-        yield out(*compare(rows))
+    if rows:
+        yield close()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -196,12 +234,12 @@ def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | N
         .select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     )
     members = materialize(members, "bucket-members")
-    mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    sizes = members.join(mixed, "bucket", "left_semi").groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")), "bucket-components")
     stats = materialize(
-        sizes.groupBy("bucket").agg(
-            F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total")
-        ).select("bucket", F.col("top.comp").alias("major"), F.col("top.n").alias("n_major"), (F.col("total") - F.col("top.n")).alias("n_minor")),
+        sizes.groupBy("bucket")
+        .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .select("bucket", F.col("top.comp").alias("major"), F.col("top.n").alias("n_major"), (F.col("total") - F.col("top.n")).alias("n_minor")),
         "mixed-buckets",
     )
     if stats.isEmpty():
@@ -209,8 +247,11 @@ def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | N
     return members.join(stats, "bucket")
 
 
-def _survivors(apart: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (x, y, matches) of different components that pass the sequential test, each once."""
+def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
+    """Verified links (u, v) between the components of mixed buckets."""
+    apart = materialize(apart, "apart")
+    filt = materialize(key_filter(apart, key_hash("rep")), "apart-filter")
+    full = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(_full, "rep long, sig binary, set binary"), "apart-sets")
     big, small = f"cast(ceil(n_major / {BLOCK}) as int)", f"cast(ceil(n_minor / {BLOCK}) as int)"
     own = f"cast(pmod(xxhash64(rep, bucket), if(comp = major, {big}, {small})) as int)"
     placed = apart.withColumn("block", F.expr(own)).withColumn("big", F.expr(big)).withColumn("small", F.expr(small))
@@ -223,10 +264,10 @@ def _survivors(apart: DataFrame, sigs: DataFrame) -> DataFrame:
                        greatest(k, block) as j, if(k = block, 2, if(k < block, 1, 0)) as side))))"""
     )
     dealt = placed.select("bucket", "rep", "comp", F.explode(cells).alias("c"))
-    dealt = dealt.select(F.struct("bucket", "c.kind", "c.i", "c.j").alias("cell"), F.col("c.side").alias("side"), "rep", "comp")
-    dealt = dealt.join(sigs.select("rep", "sig"), "rep").withColumn("cell", F.to_json("cell"))
-    sorted_cells = dealt.select("cell", "side", "rep", "comp", "sig").repartition("cell").sortWithinPartitions("cell")
-    return sorted_cells.mapInArrow(_cells, "x long, y long, matches long").groupBy("x", "y").agg(F.max("matches").alias("matches"))
+    name = F.concat_ws(":", "bucket", "c.kind", "c.i", "c.j")
+    dealt = dealt.select(name.alias("cell"), "bucket", F.col("c.side").alias("side"), "rep", "comp").join(full, "rep")
+    ready = dealt.select("cell", "bucket", "side", "rep", "comp", "sig", "set").repartition("cell").sortWithinPartitions("cell")
+    return ready.mapInArrow(_cells, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,21 +317,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     apart = _apart(shared, buckets.where("n > 2").select("bucket"), labels)
     if apart is not None:
-        # Pairs with a star's centre are settled; members of one component need no further link.
-        left = materialize(
-            _survivors(apart, sigs).join(likely, ["x", "y"], "left_anti"), "apart-survivors"
-        )
-        tried = None
-        for first in (FIRST_TRIES, None):
-            now = _between(left if tried is None else left.join(tried, ["x", "y"], "left_anti"), labels)
-            if first:
-                best = Window.partitionBy("cx", "cy").orderBy(F.desc("matches"), "x", "y")
-                now = now.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= first)
-            now = tried = materialize(now.select("x", "y"), "tries")
-            if now.isEmpty():
-                break
-            links = materialize(links.unionByName(_verified(base, now)), "links")
-            labels = materialize(components(links), "labels")
+        more = materialize(_cell_links(base, apart), "cell-links")
+        labels = materialize(components(links.unionByName(more)), "labels")
 
     classes = sigs.select("set_digest", "rep").join(labels, F.col("rep") == F.col("node"), "left")
     classes = classes.select(F.col("set_digest").alias("__d"), F.coalesce("component", "rep").alias("component_id"))
@@ -307,16 +335,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components, with those as cx < cy."""
-    for end in ("x", "y"):
-        named = labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-        pairs = pairs.join(named, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-    return pairs.where("cx <> cy").select(
-        "x", "y", "matches", F.least("cx", "cy").alias("cx"), F.greatest("cx", "cy").alias("cy")
-    )
-
-
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one document of each component, the one with the smallest identifier."""
     marked = materialize(near_duplicates(docs, id_col, text_col), "near-marks")

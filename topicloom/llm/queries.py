@@ -8,6 +8,7 @@ _QUERIES = {
     "op1_token_counts": ("token_counts", "op1_token_counts", None),
     "op2_exact_dedup": ("exact_dedup", "op2_exact_dedup", "OP2_SQL"),
     "op3_url_filters": ("url_filters", "op3_url_filters", "OP3_SQL"),
+    "op4_html_extraction": ("html_extract", "op4_html_extraction", None),
     "op5_decontaminate": ("decontaminate", "op5_decontaminate", "OP5_SQL"),
     "op6_chat_format": ("chat_format", "op6_chat_format", "OP6_SQL"),
     "op7_minhash": ("minhash", "op7_minhash", None),
