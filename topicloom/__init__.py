@@ -1,0 +1 @@
+"""topicloom: scoring documents against a topic taxonomy, on Spark."""
