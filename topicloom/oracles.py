@@ -280,9 +280,11 @@ UNION ALL SELECT 'top_l1', top_l1, count(*), round(count(*) / sum(count(*)) OVER
 SELECT a.name, a.pct AS pct_pre, b.pct AS pct_post, round(b.pct - a.pct, 1) AS diff FROM s a JOIN s b USING (name) WHERE a.half = 0 AND b.half = 1""",
         "avg_rank_best": """WITH p AS (SELECT l_orderkey, l_linenumber, round(2.0 / (1.0 / l_quantity + 1.0 / (l_discount + 1)) + 1e-9, 2) AS score FROM lineitem)
 SELECT * FROM p QUALIFY rank() OVER (PARTITION BY l_orderkey ORDER BY score DESC) + (count(*) OVER (PARTITION BY l_orderkey, score) - 1) / 2 = 1""",
-        "group_share_min_total": """SELECT * FROM (SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY o_orderpriority) AS BIGINT) AS total,
-  round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 4) AS prop FROM orders GROUP BY ALL) WHERE total >= 100""",
-        "group_head5": "SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, source) <= 5",
+        "group_share_min_total": """WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL),
+t AS (SELECT *, CAST(sum(n) OVER (PARTITION BY o_orderpriority) AS BIGINT) AS total FROM c)
+SELECT *, round(n / total, 4) AS prop FROM t WHERE total >= 100""",
+        "group_head5": """WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL)
+SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) <= 5""",
         "kth_best_field": PIPE + "SELECT merged_id, name, score FROM scores_long QUALIFY row_number() OVER (PARTITION BY merged_id ORDER BY score DESC, name) = 2",
         "best_field_per_level": PIPE + "SELECT * FROM best",
         "stratified_sample": "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS HUGEINT) * 2654435761 % 4294967296, doc_id) <= 20",
