@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.session import make_importable
 from topicloom.sources.tables import scratch_path
 
 
@@ -12,6 +13,7 @@ class Roles:
     """Role tables over one folder of Parquet tables; each is a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        make_importable(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self._kept: dict[str, DataFrame] = {}
 
