@@ -379,7 +379,8 @@ def sample_chunk(v: Vocabulary, texts: list[bytes], keys: np.ndarray, k: int) ->
 
 
 def row_keys(ids: list[int | None], seed: int = SEED) -> np.ndarray:
-    return mix(np.array([0 if i is None else i + 1 for i in ids], dtype=np.int64).astype(U64) + mix(np.array([seed], dtype=U64))[0])
+    own = np.array([-1 if i is None else i for i in ids], dtype=np.int64).astype(U64) + U64(1)
+    return mix(own + mix(np.array([seed], dtype=U64))[0])
 
 
 def decode(path: str, ids: list[int]) -> str:

@@ -3,39 +3,36 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.session import make_importable
+
 #: log2 of the bits in a key filter: 2**22 bits are 65,536 words of a long each, whatever the input.
 FILTER_BITS_LOG2 = 22
 
 
-def make_importable(spark: SparkSession) -> None:
-    """Lets Python workers that start from now on import this package from where the driver has it.
-
-    On a cluster without a common path, ship the package with --py-files.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+#: The folder of local runs without the setting.
+_LOCAL: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees; `spark.checkpoint.dir` if set, else a folder for local runs."""
     make_importable(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="topicloom-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not _LOCAL:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        _LOCAL.append(tempfile.mkdtemp(prefix="topicloom-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
