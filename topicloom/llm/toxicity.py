@@ -155,7 +155,7 @@ class Model:
             out = (0, w)
         elif len(token) >= 4 and token not in self.accidents and (m := self._matcher.match(token)) and m[1]:
             out = (1, self.words[m[0]])
-        if len(self._seen) > 1_000_000:
+        if len(self._seen) > 200_000:
             self._seen.clear()
         self._seen[token] = out
         return out
@@ -303,13 +303,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     tokens = materialize(sample.where("toxic = 1").select("id", "text").mapInArrow(_tokens, "doc long, token string, prev string"), "toxic-tokens")
     stems = F.explode(F.expr(f"transform(filter(array({', '.join(map(str, STEMS))}), k -> length(token) >= k), k -> substring(token, 1, k))"))
-    long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "doc", "prev", "token").unionByName(
-        tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "doc", "prev", "token")
+    long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "doc", "prev").unionByName(
+        tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "doc", "prev")
     )
     found = (
         long_form.where("length(term) >= 3")
         .groupBy("kind", "term")
-        .agg(F.approx_count_distinct("prev", 0.02).alias("neighbours"), F.approx_count_distinct("doc", 0.02).alias("docs"), F.approx_count_distinct("token", 0.02).alias("forms"))
+        .agg(F.approx_count_distinct("prev").alias("neighbours"), F.approx_count_distinct("doc").alias("docs"))
         .where((F.col("neighbours") >= MIN_NEIGHBOURS) & (F.col("docs") >= max(MIN_DOCS, MIN_SHARE * pos)))
     )
     # Frequent everywhere or only here: the clean texts decide; a candidate list of fixed length goes to them.
