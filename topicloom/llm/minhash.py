@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components
-from topicloom.llm.shared import key_filter, key_hash, make_importable, materialize, maybe_in, without_keys
+from topicloom.llm.shared import key_filter, key_hash, lean, make_importable, materialize, maybe_in, without_keys
 from topicloom.llm.shingles import U64, mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -219,11 +219,11 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (x, y) whose whole shingle sets reach the threshold."""
     ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id")))
     filt = materialize(key_filter(ids, key_hash("id")), "pair-filter")
-    sets = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(_sets, "id long, set binary"), "shingle-sets")
+    sets = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_sets), "id long, set binary"), "shingle-sets")
     joined = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("p")), "x").join(
         sets.select(F.col("id").alias("y"), F.col("set").alias("q")), "y"
     )
-    return joined.select("x", "y", "p", "q").mapInArrow(_exact, "x long, y long").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    return joined.select("x", "y", "p", "q").mapInArrow(lean(_exact), "x long, y long").select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
 def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | None:
@@ -251,7 +251,7 @@ def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
     """Verified links (u, v) between the components of mixed buckets."""
     apart = materialize(apart, "apart")
     filt = materialize(key_filter(apart, key_hash("rep")), "apart-filter")
-    full = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(_full, "rep long, sig binary, set binary"), "apart-sets")
+    full = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_full), "rep long, sig binary, set binary"), "apart-sets")
     big, small = f"cast(ceil(n_major / {BLOCK}) as int)", f"cast(ceil(n_minor / {BLOCK}) as int)"
     own = f"cast(pmod(xxhash64(rep, bucket), if(comp = major, {big}, {small})) as int)"
     placed = apart.withColumn("block", F.expr(own)).withColumn("big", F.expr(big)).withColumn("small", F.expr(small))
@@ -267,7 +267,7 @@ def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
     name = F.concat_ws(":", "bucket", "c.kind", "c.i", "c.j")
     dealt = dealt.select(name.alias("cell"), "bucket", F.col("c.side").alias("side"), "rep", "comp").join(full, "rep")
     ready = dealt.select("cell", "bucket", "side", "rep", "comp", "sig", "set").repartition("cell").sortWithinPartitions("cell")
-    return ready.mapInArrow(_cells, "u long, v long")
+    return ready.mapInArrow(lean(_cells), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,7 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     make_importable(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    profile = materialize(base.mapInArrow(_profiles, "id long, n_shingles long, set_digest binary, sig binary"), "profiles")
+    profile = materialize(base.mapInArrow(lean(_profiles), "id long, n_shingles long, set_digest binary, sig binary"), "profiles")
     sigs = materialize(
         profile.where("n_shingles > 0 and id is not null")
         .groupBy("set_digest")
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("lo <> hi")
         .select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    bands = materialize(sigs.select("rep", "sig").mapInArrow(_bands, "bucket long, rep long"), "bands")
+    bands = materialize(sigs.select("rep", "sig").mapInArrow(lean(_bands), "bucket long, rep long"), "bands")
     buckets = materialize(
         bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"
     )
@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = sigs.select(F.col("rep").alias("x"), F.col("sig").alias("sx"))
     two = sigs.select(F.col("rep").alias("y"), F.col("sig").alias("sy"))
     likely = materialize(
-        stars.join(two, "y").join(one, "x").select("x", "y", "sx", "sy").mapInArrow(_bayes, "x long, y long"), "star-survivors"
+        stars.join(two, "y").join(one, "x").select("x", "y", "sx", "sy").mapInArrow(lean(_bayes), "x long, y long"), "star-survivors"
     )
     links = materialize(_verified(base, likely).unionByName(ties), "links")
     labels = materialize(components(links), "labels")

@@ -23,14 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm.shared import make_importable
+from topicloom.llm.shared import lean, make_importable
 from topicloom.llm.shingles import U64, _powers, mix
 
 SAMPLES = 2
 SEED = 17
 UNIT_BYTES = 48
 #: Texts are taken in chunks of about this many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 18
 MARK = "▁".encode()
 #: Frontier noise has 32 bits, so no arc's value exceeds the log-probability of the path before it by this much.
 REACH = 23.0
@@ -438,7 +438,7 @@ def sampled_segmentations(
     make_importable(docs.sparkSession)
     slim = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
     schema = "id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string"
-    out = slim.mapInArrow(_sampler(path or model_path(), k, seed, full), schema + (", piece_ids array<int>" if full else ""))
+    out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, full)), schema + (", piece_ids array<int>" if full else ""))
     return out.withColumnRenamed("id", id_col)
 
 

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ArrowMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(run: ArrowMap) -> ArrowMap:
+    """`run`, after which a worker's freed memory goes back to the system.
+
+    Workers are used again by later stages, which else add their needs to what earlier ones have left.
+    """
+
+    @wraps(run)
+    def then_trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return then_trim
+
+
 def key_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import key_filter, key_hash, make_importable, materialize, maybe_in
+from topicloom.llm.shared import key_filter, key_hash, lean, make_importable, materialize, maybe_in
 
 #: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier.
 TRAIN_ROWS = 20_000
@@ -301,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not pos or not neg:
         return model
 
-    tokens = materialize(sample.where("toxic = 1").select("id", "text").mapInArrow(_tokens, "doc long, token string, prev string"), "toxic-tokens")
+    tokens = materialize(sample.where("toxic = 1").select("id", "text").mapInArrow(lean(_tokens), "doc long, token string, prev string"), "toxic-tokens")
     stems = F.explode(F.expr(f"transform(filter(array({', '.join(map(str, STEMS))}), k -> length(token) >= k), k -> substring(token, 1, k))"))
     long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "doc", "prev").unionByName(
         tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "doc", "prev")
@@ -318,7 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     words, begin = frozenset(r.term for r in rows if r.kind == "word"), frozenset(r.term for r in rows if r.kind == "stem")
     clean = {
         (r.kind, r.term): r.n
-        for r in common.mapInArrow(_count_terms(words, begin), "kind string, term string, n long").groupBy("kind", "term").agg(F.sum("n").alias("n")).collect()
+        for r in common.mapInArrow(lean(_count_terms(words, begin)), "kind string, term string, n long").groupBy("kind", "term").agg(F.sum("n").alias("n")).collect()
     }
     scored = []
     for r in rows:
@@ -331,9 +331,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model.words = {t: o for _, o, k, t in scored if k == "word"}
     model.stems = {t: o for _, o, k, t in scored if k == "stem"}
     model.fuzzy = list(model.words)[:FUZZY_TERMS]
-    near = common.mapInArrow(_near_tokens(model), "token string").groupBy("token").count().orderBy(F.desc("count"), "token").limit(ACCIDENTS).collect()
+    near = common.mapInArrow(lean(_near_tokens(model)), "token string").groupBy("token").count().orderBy(F.desc("count"), "token").limit(ACCIDENTS).collect()
     model.accidents = frozenset(r.token for r in near)
-    data = sample.select(F.col("toxic").cast("double").alias("toxic"), "text").mapInArrow(_features(model), "toxic double, x array<double>").collect()
+    data = sample.select(F.col("toxic").cast("double").alias("toxic"), "text").mapInArrow(lean(_features(model)), "toxic double, x array<double>").collect()
     data.sort(key=lambda r: (r.toxic, r.x))
     model.weights = _fit(np.array([r.x for r in data]), np.array([r.toxic for r in data]))
     return model
@@ -357,7 +357,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     model = train(docs, labels, id_col, text_col, max_rows)
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    scored = slim.mapInArrow(_scorer(model), "id long, score double")
+    scored = slim.mapInArrow(lean(_scorer(model)), "id long, score double")
     return scored.select(
         F.col("id").alias(id_col),
         F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"),
@@ -377,7 +377,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for b in batches:
             yield b.filter(pa.array([model.score(t or "") < FLAG_AT for t in b.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
