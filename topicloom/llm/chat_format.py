@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import make_importable
+from topicloom.llm.shared import prepare
 
 #: (header, trailer) by role; other roles write their name after the fourth's header.
 TEMPLATE = {
@@ -157,7 +157,7 @@ def format_chats(conversations: DataFrame, id_col: str = "conv_id", turn_col: st
     form one of their own. Repeated rows are turns each. An empty table gives an empty result. One task streams a
     conversation and holds no more than that conversation and a batch, since its output is one value.
     """
-    make_importable(conversations.sparkSession)
+    prepare(conversations.sparkSession)
     slim = conversations.select(
         F.col(f"`{id_col}`").cast("long").alias("conv_id"),
         F.coalesce(F.col(f"`{role_col}`"), F.lit("")).alias("role"),

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import make_importable, materialize
+from topicloom.llm.shared import materialize, prepare
 from topicloom.llm.url_filters import host_of
 
 #: Tokens in the shortest run that counts as boilerplate.
@@ -256,7 +256,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     for the suffix array, so on a host where a page without article occurs twice its blocks count as boilerplate.
     An empty table gives an empty result.
     """
-    make_importable(pages.sparkSession)
+    prepare(pages.sparkSession)
     slim = pages.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(f"`{id_col}`").alias("page_id"),

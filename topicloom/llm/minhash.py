@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components
-from topicloom.llm.shared import key_filter, key_hash, lean, make_importable, materialize, maybe_in, without_keys
+from topicloom.llm.shared import key_filter, key_hash, lean, materialize, maybe_in, prepare, without_keys
 from topicloom.llm.shingles import U64, mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same identifier count as one node; a row without identifier stays alone, is kept and has no component.
     An empty table gives an empty result.
     """
-    make_importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     profile = materialize(base.mapInArrow(lean(_profiles), "id long, n_shingles long, set_digest binary, sig binary"), "profiles")
     sigs = materialize(

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm.shared import lean, make_importable
+from topicloom.llm.shared import lean, prepare
 from topicloom.llm.shingles import U64, _powers, mix
 
 SAMPLES = 2
@@ -435,7 +435,7 @@ def sampled_segmentations(
     a row without identifier is seeded as its own case. A text that holds the word mark itself decodes with a space
     in its place, as the library has it. An empty table gives an empty result.
     """
-    make_importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     slim = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
     schema = "id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string"
     out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, full)), schema + (", piece_ids array<int>" if full else ""))

@@ -21,13 +21,25 @@ from topicloom.session import make_importable
 FILTER_BITS_LOG2 = 22
 
 
+#: Rows and bytes of a batch that goes to Python, where the session doesn't set them. Spark's own 10,000 rows are some
+#: 100 MB of memory beside the heap in every task that sends whole texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
 #: The folder of local runs without the setting.
 _LOCAL: list[str] = []
 
 
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: Python workers that find this package, batches of bounded size."""
+    make_importable(spark)
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(name := f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(name, most)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees; `spark.checkpoint.dir` if set, else a folder for local runs."""
-    make_importable(spark)
+    prepare(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")

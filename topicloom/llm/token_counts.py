@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from topicloom.llm.shared import fresh_path, key_filter, key_hash, make_importable, materialize, maybe_in
+from topicloom.llm.shared import fresh_path, key_filter, key_hash, materialize, maybe_in, prepare
 
 TOKENIZER = "byte_bpe_50k"
 LIMIT = 1024
@@ -99,7 +99,7 @@ def token_counts(
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    make_importable(spark)
+    prepare(spark)
     paths = paths or (vocabulary_path(f"{TOKENIZER}.tiktoken"), vocabulary_path(f"{TOKENIZER}.json"))
     cache_path = cache_path or fresh_path(spark, "token-cache")
     version = tokenizer_digest(*paths)

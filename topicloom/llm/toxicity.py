@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import key_filter, key_hash, lean, make_importable, materialize, maybe_in
+from topicloom.llm.shared import key_filter, key_hash, lean, materialize, maybe_in, prepare
 
 #: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier.
 TRAIN_ROWS = 20_000
@@ -238,9 +238,9 @@ def _near_tokens(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model.prepare()
         for b in batches:
-            own = {x for t in b.column(0).to_pylist() for x in set(TOKEN.findall(t.lower()))}
+            own = Counter(x for t in b.column(0).to_pylist() for x in set(TOKEN.findall(t.lower())))
             near = [x for x in own if (m := model.look(x)) and m[0] == 1]
-            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["token"])
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string()), pa.array([own[x] for x in near], pa.int64())], ["token", "n"])
 
     return run
 
@@ -286,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     A document with several labels is toxic if one of them says so; null labels are ignored. Without toxic or
     without clean rows there is no lexicon, and every text scores the smoothed share of toxic rows.
     """
-    make_importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     ident = F.col("doc_id")
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(ident)).groupBy(ident.cast("long").alias("__lid")).agg(F.max("toxic").alias("toxic"))
     total = known.count()
@@ -331,7 +331,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model.words = {t: o for _, o, k, t in scored if k == "word"}
     model.stems = {t: o for _, o, k, t in scored if k == "stem"}
     model.fuzzy = list(model.words)[:FUZZY_TERMS]
-    near = common.mapInArrow(lean(_near_tokens(model)), "token string").groupBy("token").count().orderBy(F.desc("count"), "token").limit(ACCIDENTS).collect()
+    near = common.mapInArrow(lean(_near_tokens(model)), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(ACCIDENTS).collect()
     model.accidents = frozenset(r.token for r in near)
     data = sample.select(F.col("toxic").cast("double").alias("toxic"), "text").mapInArrow(lean(_features(model)), "toxic double, x array<double>").collect()
     data.sort(key=lambda r: (r.toxic, r.x))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import fresh_path, key_filter, key_hash, make_importable, materialize, with_filter_flag
+from topicloom.llm.shared import fresh_path, key_filter, key_hash, materialize, prepare, with_filter_flag
 
 #: Records in one archive at most. An archive is read as one value, so it must stay well under 2 GB.
 ARCHIVE_RECORDS = 1000
@@ -166,7 +166,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
 
     A file that doesn't begin with a record has none; one that ends early keeps the records before the break.
     """
-    make_importable(spark)
+    prepare(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     found = files.mapInArrow(_scan(payload), _SCHEMA)
     found = materialize(found, "candidates")
