@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components
-from topicloom.llm.shared import key_filter, key_hash, lean, materialize, maybe_in, prepare, without_keys
+from topicloom.llm.shared import fresh_path, intermediate, key_filter, key_hash, lean, materialize, maybe_in, prepare, without_keys
 from topicloom.llm.shingles import U64, mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -337,7 +337,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one document of each component, the one with the smallest identifier."""
-    marked = materialize(near_duplicates(docs, id_col, text_col), "near-marks")
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "near-marks")
+    with intermediate(spark):
+        near_duplicates(docs, id_col, text_col).write.parquet(path)
+    marked = spark.read.parquet(path)
     gone = marked.where(~F.col("kept")).select(F.col(id_col).cast("long").alias("id")).distinct()
     return without_keys(docs, gone, {"id": F.col(f"`{id_col}`").cast("long")})
 

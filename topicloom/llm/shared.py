@@ -9,6 +9,8 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 
 import pyarrow as pa
@@ -55,10 +57,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/topicloom/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables written inside the innermost `intermediate` scope.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Tables that `materialize` writes in this scope go at its end: nothing lazy may leave the scope."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if (open_scope := _SCOPE.get()) is not None:
+        open_scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import key_filter, key_hash, lean, materialize, maybe_in, prepare
+from topicloom.llm.shared import intermediate, key_filter, key_hash, lean, materialize, maybe_in, prepare
 
 #: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier.
 TRAIN_ROWS = 20_000
@@ -355,7 +355,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     Null and empty texts score as texts without matches. Repeated rows score alike; a row without identifier isn't
     held out. An empty table gives an empty result.
     """
-    model = train(docs, labels, id_col, text_col, max_rows)
+    with intermediate(docs.sparkSession):
+        model = train(docs, labels, id_col, text_col, max_rows)
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     scored = slim.mapInArrow(lean(_scorer(model)), "id long, score double")
     return scored.select(
@@ -368,7 +369,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of `docs` whose score stays below 0.7, in one narrow pass over the table."""
-    model = train(docs, labels, id_col, text_col, max_rows)
+    with intermediate(docs.sparkSession):
+        model = train(docs, labels, id_col, text_col, max_rows)
     schema = docs.schema
     at = docs.columns.index(text_col)
 
