@@ -36,8 +36,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of each document that is left."""
-    return sampled_segmentations(docs, full=False)
+    """Two sampled segmentations of each document that is left, with their piece ids."""
+    return sampled_segmentations(docs)
 
 
 STAGES = [

@@ -305,6 +305,26 @@ def test_sampled_segmentations(spark, docs, none):
         assert sentencepiece_sampling.decode(path, row[2].tolist()) == t
 
 
+def test_op8_returns_ids_and_round_trips(spark, docs, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    path = sentencepiece_sampling.model_path()
+    out = sentencepiece_sampling.op8_sentencepiece(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == {i for i, *_ in ROWS} and all(r.round_trip for r in out)
+    texts = {i: t or "" for i, t, *_ in ROWS}
+    for r in out:
+        assert sentencepiece_sampling.decode(path, r.piece_ids) == texts[r.doc_id]
+        assert hashlib.sha256(np.array(r.piece_ids, dtype="<i4").tobytes()).hexdigest() == r.ids_sha256
+
+
+def test_decoded_segmentations(spark):
+    path = sentencepiece_sampling.model_path()
+    texts = ["日本 \x00é🏽", " two  spaces ", "line\nend", "x" * 300, "", "a\tb", "   ", "é" * 200]
+    lists = [sentencepiece_sampling.encode(path, t) for t in texts] + [[], None]
+    rows = spark.createDataFrame(list(enumerate(lists)), "i int, piece_ids array<int>")
+    got = {r.i: r.decoded for r in sentencepiece_sampling.decoded_segmentations(rows).collect()}
+    assert got == {i: None if x is None else sentencepiece_sampling.decode(path, x) for i, x in enumerate(lists)}
+
+
 def test_sampling_distribution():
     v = sentencepiece_sampling.vocabulary(sentencepiece_sampling.model_path())
     n = 6000

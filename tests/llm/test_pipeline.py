@@ -47,6 +47,13 @@ def test_stages_take_odd_tables(spark, sf):
     assert now.count() == 0
 
 
+def test_last_stage_can_be_decoded(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    out = sentencepiece_sampling.decoded_segmentations(corpus_pipeline.encode(spark, docs, sf)).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id for r in out} == set(texts) and all(r.decoded == texts[r.doc_id] for r in out)
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stage_names(name):
     assert name

@@ -21,7 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from topicloom.llm.shared import lean, prepare
 from topicloom.llm.shingles import U64, _powers, mix
@@ -68,6 +71,7 @@ class Vocabulary:
                     node = nxt
                 piece_of[node] = i
         self.weight = weight
+        self._spelling()
         self.piece_of = np.array(piece_of, dtype=np.int32)
         bits = (4 * len(edges)).bit_length()
         self.shift = U64(64 - bits)
@@ -80,6 +84,41 @@ class Vocabulary:
                 slot = (slot + 1) & self.mask
             self.keys[slot], self.next[slot] = key, to
 
+    def _spelling(self) -> None:
+        """What each piece decodes to, end to end: the word mark is a space, a byte piece its byte, a control nothing."""
+        sp = self.sp
+        spelt = []
+        for i in range(sp.get_piece_size()):
+            if sp.is_byte(i):
+                spelt.append(bytes([int(sp.id_to_piece(i)[3:5], 16)]))
+            elif sp.is_unknown(i):
+                spelt.append(" ⁇ ".encode())
+            else:
+                spelt.append(b"" if sp.is_control(i) else sp.id_to_piece(i).encode().replace(MARK, b" "))
+        self.spelt = np.frombuffer(b"".join(spelt), dtype=np.uint8)
+        self.spelt_size = np.array([len(x) for x in spelt])
+        self.spelt_at = np.cumsum(self.spelt_size) - self.spelt_size
+
+    def texts(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The text of each list of ids, list i being ids[bounds[i] : bounds[i + 1]]; the first piece's leading space goes."""
+        size = self.spelt_size[ids]
+        data = self.spelt[_ranges(self.spelt_at[ids], size)]
+        ends = np.append(0, np.cumsum(size))[bounds]
+        begin = ends[:-1]
+        lead = begin[begin < ends[1:]]
+        lead = lead[data[lead] == 32]
+        keep = np.ones(len(data), dtype=bool)
+        keep[lead] = False
+        ends = np.append(0, np.cumsum(keep))[ends]
+        raw = np.ascontiguousarray(data[keep])
+        out = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw)])
+        try:
+            out.validate(full=True)
+        except pa.ArrowInvalid:  # lists of ids that aren't those of a text
+            whole = raw.tobytes()
+            out = pa.array([whole[a:b].decode(errors="replace") for a, b in zip(ends, ends[1:], strict=False)], pa.large_string())
+        return out.cast(pa.string())
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(U64) * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
@@ -392,7 +431,7 @@ def encode(path: str, text: str) -> list[int]:
     return vocabulary(path).sp.encode(text)
 
 
-def _sampler(path: str, k: int, seed: int, full: bool):
+def _sampler(path: str, k: int, seed: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for b in batches:
@@ -405,6 +444,7 @@ def _sampler(path: str, k: int, seed: int, full: bool):
                     chunk.append((t or "").encode())
                     size += len(chunk[-1])
                 rows = list(sample_chunk(v, chunk, row_keys(ids[i : i + len(chunk)], seed), k))
+                bounds = np.append(0, np.cumsum([len(r[2]) for r in rows])).astype(np.int32)
                 columns = [
                     pa.array([ids[i + r[0]] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int32()),
@@ -413,11 +453,12 @@ def _sampler(path: str, k: int, seed: int, full: bool):
                     pa.array([r[4] for r in rows], pa.float64()),
                     pa.array([r[5] for r in rows], pa.float64()),
                     pa.array([hashlib.sha256(r[2].astype("<i4").tobytes()).hexdigest() for r in rows], pa.string()),
+                    pa.ListArray.from_arrays(bounds, np.concatenate([r[2] for r in rows])),
                 ]
-                names = ["id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_sha256"]
-                if full:
-                    columns.append(pa.array([r[2].tolist() for r in rows], pa.list_(pa.int32())))
-                    names.append("piece_ids")
+                names = ["id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_sha256", "piece_ids"]
+                if keep_text:
+                    columns.append(texts.take(pa.array([i + r[0] for r in rows], pa.int64())))
+                    names.append("text")
                 yield pa.RecordBatch.from_arrays(columns, names)
                 i += len(chunk)
 
@@ -425,10 +466,10 @@ def _sampler(path: str, k: int, seed: int, full: bool):
 
 
 def sampled_segmentations(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = SEED, path: str | None = None, full: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = SEED, path: str | None = None, keep_text: bool = False
 ) -> DataFrame:
     """Up to k rows per row of `docs`: id_col, sample (0 first), n_pieces, log_prob, perturbed, log_inclusion,
-    ids_sha256 (of the ids as little-endian int32) and, with `full`, piece_ids.
+    ids_sha256 (of the ids as little-endian int32), piece_ids and, with `keep_text`, text.
 
     Samples of a text are distinct; a text with fewer than k segmentations has fewer rows, with inclusion 1. Null and
     empty texts have the one empty segmentation. Rows with the same identifier and text get the same samples, and
@@ -437,11 +478,46 @@ def sampled_segmentations(
     """
     prepare(docs.sparkSession)
     slim = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
-    schema = "id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string"
-    out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, full)), schema + (", piece_ids array<int>" if full else ""))
+    schema = "id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string, piece_ids array<int>"
+    out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, keep_text)), schema + (", text string" if keep_text else ""))
     return out.withColumnRenamed("id", id_col)
 
 
+def _decoder(path: str, ids_col: str, out_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        for b in batches:
+            lists = b.column(b.schema.get_field_index(ids_col))
+            size = pa.compute.coalesce(pa.compute.list_value_length(lists), pa.scalar(0, pa.int32())).to_numpy(zero_copy_only=False)
+            bounds = np.append(0, np.cumsum(size))
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            at = 0
+            while at < len(lists):
+                # As many lists as hold about CHUNK_BYTES ids, so that a batch of long ones isn't spelt at once.
+                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_BYTES, side="right")) - 1)
+                text = v.texts(ids[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at])
+                text = pa.compute.if_else(pa.compute.is_valid(lists.slice(at, to - at)), text, pa.scalar(None, pa.string()))
+                part = b.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*b.schema.names, out_col])
+                at = to
+
+    return run
+
+
+def decoded_segmentations(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "decoded", path: str | None = None) -> DataFrame:
+    """`encoded` and, as out_col, the text that the ids in ids_col stand for; null where they are null.
+
+    Bytes that aren't UTF-8, which no encoded text gives, become the replacement character.
+    """
+    prepare(encoded.sparkSession)
+    schema = StructType([*encoded.schema.fields, StructField(out_col, StringType())])
+    return encoded.mapInArrow(lean(_decoder(path or model_path(), ids_col, out_col)), schema)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two samples of every document with their ids, decoded again; round_trip: the decoded text is the document's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return sampled_segmentations(docs, full=False)
+    both = decoded_segmentations(sampled_segmentations(docs, keep_text=True))
+    # The library has a space where a text holds the word mark itself.
+    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(MARK.decode()), F.lit(" "))
+    return both.withColumn("round_trip", same).drop("text", "decoded")
