@@ -118,6 +118,17 @@ def test_url_filters(spark):
     assert ("host", "example.com", "2024-01-01", "2024-01-05") in spans
 
 
+def test_url_filters_at_instants(spark):
+    feed = [("host", "e.com", "2024-01-05 23:00:00", True), ("host", "f.com", "2024-01-05 08:00:00", True), ("host", "f.com", "2024-01-05 09:00:00", False), ("url", "f.com/a", "2024-01-05 08:30:00", True), ("url", "f.com/a", "2024-01-05 08:30:00", False)]
+    changes = spark.createDataFrame(feed, "kind string, key string, at string, listed boolean").withColumn("at", F.to_timestamp("at"))
+    c = [("http://e.com", "02:00:00", 0), ("http://e.com", "22:59:59", 0), ("http://e.com", "23:00:00", 1), ("http://f.com", "07:59:59", 0), ("http://f.com", "08:00:00", 1), ("http://f.com", "08:59:59", 1), ("http://f.com", "09:00:00", 0), ("http://f.com/a", "08:45:00", 2), ("http://f.com/a", None, 0)]
+    rows = [(i, u, t and f"2024-01-05 {t}") for i, (u, t, _) in enumerate(c)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        captures = spark.createDataFrame(rows, "page_id long, url string, fetch_date string").withColumn("fetch_date", F.col("fetch_date").cast(kind))
+        got = {r.page_id: (r.n_entries, r.blocked) for r in url_filters.filter_urls(captures, changes).collect()}
+        assert got == {i: (n, n > 0) for i, (_, _, n) in enumerate(c)}
+
+
 # 4
 
 

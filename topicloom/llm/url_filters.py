@@ -1,15 +1,17 @@
 """URL filters as a temporal list join, in DataFrame operations only.
 
 A list is a feed of dated changes, each adding or removing an entry: a host, which covers its subdomains, or a URL
-without scheme, query and fragment, which covers what lies below it. The last change of a day counts; changes
-become validity intervals [from, until). A capture is blocked when an entry that covers it is active on its fetch
-date: its host suffixes and path prefixes are joined with the intervals on equal keys, as of that date.
+without scheme, query and fragment, which covers what lies below it. Changes become validity intervals [from, until).
+A capture with a fetch timestamp is blocked when an entry that covers it is active at that instant; of one that has
+only a date, the last change of the day counts. Its host suffixes and path prefixes are joined with the intervals on
+equal keys, as of that time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 FOREVER = "9999-12-31"
 _HEAD = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
@@ -27,32 +29,37 @@ def segments_of(url: Column) -> Column:
     return F.filter(F.split(path, "/"), lambda x: x != "")
 
 
-def intervals(changes: DataFrame) -> DataFrame:
+def intervals(changes: DataFrame, exact: bool = False) -> DataFrame:
     """(kind, key, valid_from, valid_until) from (kind, key, at timestamp, listed boolean).
 
-    Changes without key, time or direction are left out; of changes at one instant adding wins. There is one row a
-    key and day at most before the window, however many changes the feed repeats.
+    Changes without key, time or direction are left out; of changes at one instant adding wins. Intervals are of days,
+    of which the last change counts, or with `exact` of instants. There is one row a key and day (instant) at most
+    before the window, however many changes the feed repeats.
     """
-    daily = (
+    turn = F.col("at") if exact else F.to_date("at")
+    folded = (
         changes.where("key <> '' and at is not null and listed is not null")
-        .groupBy("kind", "key", F.to_date("at").alias("day"))
+        .groupBy("kind", "key", turn.alias("turn"))
         .agg(F.max(F.struct("at", "listed")).getField("listed").alias("listed"))
     )
-    by_key = Window.partitionBy("kind", "key").orderBy("day")
-    turns = daily.withColumn("before", F.lag("listed").over(by_key)).where("not (listed <=> before)")
-    spans = turns.withColumn("valid_until", F.coalesce(F.lead("day").over(by_key), F.lit(FOREVER).cast("date")))
-    return spans.where("listed").select("kind", "key", F.col("day").alias("valid_from"), "valid_until")
+    by_key = Window.partitionBy("kind", "key").orderBy("turn")
+    turns = folded.withColumn("before", F.lag("listed").over(by_key)).where("not (listed <=> before)")
+    spans = turns.withColumn("valid_until", F.coalesce(F.lead("turn").over(by_key), F.lit(FOREVER).cast("timestamp" if exact else "date")))
+    return spans.where("listed").select("kind", "key", F.col("turn").alias("valid_from"), "valid_until")
 
 
 def filter_urls(captures: DataFrame, changes: DataFrame, id_col: str = "page_id", url_col: str = "url", date_col: str = "fetch_date") -> DataFrame:
     """Per row of `captures`: id_col, url_col, date_col, n_entries (active entries that cover it), first_entry (the
-    least of them as kind:key), since (the earliest valid_from among them), blocked.
+    least of them as kind:key), since (the earliest valid_from among them), blocked. If date_col is a timestamp, entries
+    count as they stand at that instant, else as they stand at the end of that day.
 
     A URL that is null or has no host, and a capture without date, is covered by nothing. Repeated rows are answered
     each. Empty captures give an empty result, an empty list blocks nothing.
     """
+    exact = isinstance(captures.schema[date_col].dataType, (TimestampType, TimestampNTZType))
+    fetched = F.col(f"`{date_col}`") if exact else F.col(f"`{date_col}`").cast("date")
     base = captures.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{date_col}`").cast("date").alias("day"), F.monotonically_increasing_id().alias("row")
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), fetched.alias("fetched"), F.monotonically_increasing_id().alias("row")
     )
     base = base.withColumn("host", host_of(F.col("url"))).withColumn("segments", segments_of(F.col("url")))
     keys = F.expr(
@@ -60,16 +67,16 @@ def filter_urls(captures: DataFrame, changes: DataFrame, id_col: str = "page_id"
              transform(sequence(1, size(split(host, '[.]'))), i -> struct('host' as kind, substring_index(host, '.', i - 1 - size(split(host, '[.]'))) as key)),
              transform(sequence(0, size(segments)), i -> struct('url' as kind, array_join(concat(array(host), slice(segments, 1, i)), '/') as key))))"""
     )
-    probes = base.select("row", "day", F.explode(keys).alias("k")).select("row", "day", "k.kind", "k.key")
-    spans = intervals(changes)
-    hits = probes.join(spans, ["kind", "key"]).where("valid_from <= day and day < valid_until")
+    probes = base.select("row", "fetched", F.explode(keys).alias("k")).select("row", "fetched", "k.kind", "k.key")
+    spans = intervals(changes, exact)
+    hits = probes.join(spans, ["kind", "key"]).where("valid_from <= fetched and fetched < valid_until")
     found = hits.groupBy("row").agg(
         F.count(F.lit(1)).alias("n_entries"), F.min(F.concat_ws(":", "kind", "key")).alias("first_entry"), F.min("valid_from").alias("since")
     )
     return base.join(found, "row", "left").select(
         F.col("id").alias(id_col),
         F.col("url").alias(url_col),
-        F.col("day").alias(date_col),
+        F.col("fetched").alias(date_col),
         F.coalesce("n_entries", F.lit(0)).alias("n_entries"),
         "first_entry",
         "since",
