@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from parity import assert_same, database
 from pyspark.sql import functions as F
@@ -29,6 +31,15 @@ def test_queries_without_sql_run(spark, sf):
         assert queries()[name](spark, sf).count() >= 0
 
 
+def test_sampling_frame_holds_both_corpora(spark, sf, con):
+    got = Counter((r.merged_id, r.year) for r in queries()["sampling_frame"](spark, sf).select("merged_id", "year").collect())
+    years = dict(con.execute("SELECT 'p' || o_orderkey, year(o_orderdate) FROM orders").fetchall())
+    corpus = [r.merged_id for r in queries()["corpus_clean_text"](spark, sf).select("merged_id").collect()]
+    before = [m for m in corpus if int(m[1:]) % 2 == 0]
+    want = Counter((m, years[m]) for m in corpus + before if m in years and 1990 <= years[m] <= 2030)
+    assert before and got == want
+
+
 def one(spark, value, expr, kind="string"):
     return spark.createDataFrame([(value,)], f"x {kind}").select(expr(F.col("x")).alias("y")).first().y
 

@@ -561,7 +561,7 @@ def hash_sample(spark, sf_dir):
 def sampling_frame(spark, sf_dir):
     r = Roles(spark, sf_dir)
     years = r.table("orders").select(F.concat(F.lit("p"), "o_orderkey").alias("merged_id"), F.year("o_orderdate").alias("year"))
-    return analysis.sampling_frame(_corpus(r), _before(r).limit(0), years, 1990, 2030)
+    return analysis.sampling_frame(_corpus(r), _before(r), years, 1990, 2030)
 
 
 @query
