@@ -455,6 +455,30 @@ def test_toxicity(spark, abuse, none):
     assert toxicity.toxicity(none.select("doc_id", "text"), labels).count() == 0
 
 
+def test_toxicity_spares_words_that_begin_like_terms(spark):
+    rng = np.random.default_rng(5)
+    bad = ["pathetic", "worthless", "trash", "disgusting", "moron"]
+    rows, labels = [], []
+    for i in range(600):
+        w = [f"{'bcdfg'[k % 5]}{'aeiou'[k // 5 % 5]}{'lmnrs'[k // 25 % 5]}{'aeiou'[k // 125 % 5]}" for k in rng.integers(0, 625, 60)]
+        for _ in range(6 if i % 4 == 0 else 0):
+            w[int(rng.integers(0, 60))] = bad[int(rng.integers(0, 5))]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).prepare()
+    assert model.look("pathetic") and not any(map(model.look, ("path", "pathway", "worth", "wort")))
+    for t in (
+        "The path through the old forest is longer than the road, but on a clear day the view from the hill makes up for it.",
+        "A new pathway for cyclists opens on Monday and links the station with the river and the market square.",
+        "The house is worth more than it was ten years ago, although the roof and the windows need some repair.",
+        "Das letzte Wort hat der Rat der Stadt, der am Montag über den Plan für die neue Brücke berät.",
+        "Sie gab ihm ihr Wort, und er fand seine Antwort in einem Wörterbuch aus dem vorigen Jahrhundert.",
+    ):
+        assert model.score(t) < toxicity.FLAG_AT, t
+    for t in ("you pathetic worthless moron", "what disgusting trash, you moron"):
+        assert model.score(t) >= toxicity.FLAG_AT, t
+
+
 def test_toxicity_edges(spark, docs):
     no_labels = spark.createDataFrame([], "doc_id long, toxic int")
     rows = toxicity.toxicity(docs, no_labels).collect()

@@ -3,7 +3,7 @@
 A bounded sample of the labelled training rows teaches the lexicon: words, and word beginnings (stems), that
 stand in toxic documents beside many different neighbours and hardly ever in clean ones. Distinct neighbours, not
 occurrences, are counted, so that the words of a document copied many times don't become terms. A token matches a
-term exactly, by a stem, or through the automaton within one edit (five letters or more) or two (ten or more).
+term exactly, by a stem of six letters or more and an ending of at most six, or through the automaton within one edit (five letters or more) or two (ten or more).
 Windows around the matches tell quotation (quotation marks, verbs of saying) from abuse; a logistic model over
 these counts, fitted on the same sample, gives the score. Labels, language, source and identifier aren't inputs.
 """
@@ -25,7 +25,10 @@ from topicloom.llm.shared import intermediate, key_filter, key_hash, lean, mater
 #: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier.
 TRAIN_ROWS = 20_000
 CANDIDATES, TERMS, FUZZY_TERMS, ACCIDENTS = 4000, 600, 100, 5000
-STEMS = (4, 5, 6, 7, 8)
+#: Shorter beginnings, such as "path" or "worth", are words of their own in texts that the clean training rows lack.
+STEMS = (6, 7, 8)
+#: A token has at most this many letters after its stem.
+ENDING = 6
 #: A term stands beside this many different neighbours and in this many toxic documents, or this share of them.
 MIN_NEIGHBOURS, MIN_DOCS, MIN_SHARE = 3, 2, 0.01
 #: Clean documents count this many more than seen, so that rare terms weigh little.
@@ -148,7 +151,7 @@ class Model:
         out = None
         w = self.words.get(token)
         for k in STEMS:
-            s = self.stems.get(token[:k]) if len(token) >= k else None
+            s = self.stems.get(token[:k]) if k <= len(token) <= k + ENDING else None
             if s is not None and (w is None or s > w):
                 w = s
         if w is not None:
@@ -225,7 +228,7 @@ def _count_terms(words: frozenset[str], stems: frozenset[str]):
         for b in batches:
             for t in b.column(0).to_pylist():
                 own = set(TOKEN.findall(t.lower()))
-                begin = {x[:k] for x in own for k in STEMS if len(x) >= k}
+                begin = {x[:k] for x in own for k in STEMS if k <= len(x) <= k + ENDING}
                 seen.update(("word", x) for x in own & words)
                 seen.update(("stem", x) for x in begin & stems)
         kinds, terms, n = [k for k, _ in seen], [t for _, t in seen], list(seen.values())
@@ -302,7 +305,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return model
 
     tokens = materialize(sample.where("toxic = 1").select("id", "text").mapInArrow(lean(_tokens), "doc long, token string, prev string"), "toxic-tokens")
-    stems = F.explode(F.expr(f"transform(filter(array({', '.join(map(str, STEMS))}), k -> length(token) >= k), k -> substring(token, 1, k))"))
+    stems = F.explode(F.expr(f"transform(filter(array({', '.join(map(str, STEMS))}), k -> length(token) between k and k + {ENDING}), k -> substring(token, 1, k))"))
     long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "doc", "prev").unionByName(
         tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "doc", "prev")
     )
