@@ -69,13 +69,12 @@ def test_case_name(spark, raw, want):
 def test_names_and_cleaning(spark):
     assert one(spark, " Computer  science ", text.clean_name) == "Computer science"
     assert one(spark, " text–to–speech", text.clean_name) == "text-to-speech"
-    assert text.preprocess_text(" QUICK BROWN FOX?") == "quick brown fox"
-    assert text.preprocess_text("covid-19 café X11 11") == "covid19 cafe x11"
+    for raw, want in ((" QUICK BROWN FOX?", "quick brown fox"), ("covid-19 café X11 11", "covid19 cafe x11"), ("1 a\t2\u200b３ ½_x", "a 12x"), (" 7 ", ""), (None, None)):
+        assert one(spark, raw, text.preprocess) == want
     assert one(spark, "covid-19", text.clean_corpus_text) == "covid"
     assert one(spark, "café\x0bz", text.clean_corpus_text) == "cafz"
-    assert one(spark, " QUICK?", lambda c: text.preprocess(c)) == "quick"
     with pytest.raises(ValueError):
-        text.preprocess_text("x", "zh")
+        text.preprocess(F.col("x"), "zh")
     assert one(spark, "scales.[citation needed] Whereas[12]", text.drop_brackets) == "scales. Whereas"
     assert one(spark, ["[3]", "[a]"], text.bracket_numbers, "array<string>") == [3]
     assert one(spark, ["a", None, "b"], text.join_pages, "array<string>") == " a b"

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from topicloom.queries import PMC_PREFIX, PMID_PREFIX, URLS
 from topicloom.sources.roles_sql import ROLES
 
 CLEAN = r"trim(lower(regexp_replace(regexp_replace({0}, '([^[:alpha:]\s\d])|(\b\d+\b)', '', 'g'), '[\r\n\v\t]+', ' ', 'g')))"
+#: Equal to the model cleaner where accents on letters are all that decomposes, as in these documents.
+MODEL_CLEAN = (
+    r"trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(regexp_replace(regexp_replace({0}, "
+    r"'[\t\n\r\v\f\x{{200B}}\x{{2060}}\x{{FEFF}}]', ' ', 'g'), '[[:punct:]]', '', 'g')), '[^\x00-\x7F]', '', 'g')), '\b[0-9]+\b', '', 'g'), '[ \x1C-\x1F]+', ' ', 'g'))"
+)
 CORPUS = (
     ROLES
     + r"""
@@ -160,7 +167,37 @@ def _full(a: str, b: str) -> str:
     return f"SELECT bool_and(x.k IS NOT NULL) AS in_first, bool_and(y.k IS NOT NULL) AS in_second FROM ({a}) x FULL JOIN ({b}) y ON x.k = y.k"
 
 
+def lean(sql: str) -> str:
+    """`sql` without the common table expressions that its result doesn't use."""
+    if not sql.lstrip().upper().startswith("WITH"):
+        return sql
+    at, parts = sql.upper().index("WITH") + 4, []
+    while True:
+        name, start = re.match(r"\s*(\w+)\s+AS\s*\(", sql[at:], re.IGNORECASE), at
+        if not name:
+            break
+        at += name.end()
+        depth, quoted = 1, False
+        while depth:
+            quoted ^= sql[at] == "'"
+            depth += 0 if quoted else (sql[at] == "(") - (sql[at] == ")")
+            at += 1
+        parts.append((name[1], sql[start:at].strip()))
+        at += re.match(r"\s*,?", sql[at:]).end()
+    rest, kept = sql[at:].strip(), []
+    needed = rest
+    for name, part in reversed(parts):
+        if re.search(rf"\b{name}\b", needed):
+            kept.append(part)
+            needed += part
+    return ("WITH " + ",\n".join(reversed(kept)) + "\n" if kept else "") + rest
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: lean(sql) for name, sql in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     o = {
         "corpus_clean_text": CORPUS + "SELECT * FROM corpus",
         "corpus_incremental": CORPUS + "SELECT * FROM corpus WHERE (merged_id, text) NOT IN (SELECT (merged_id, text) FROM before)",
@@ -254,6 +291,7 @@ l AS (SELECT term, unnest(range(0, len(embedding))) AS pos, unnest(embedding) AS
 u AS (SELECT term, pos, x / n AS x FROM l JOIN (SELECT term, sqrt(sum(x * x)) AS n FROM l GROUP BY term) USING (term)),
 s AS (SELECT merged_id, pos, sum(tf * x) AS x FROM counts JOIN u USING (term) GROUP BY ALL)
 SELECT merged_id, CAST(pos AS INTEGER) AS pos, round(x / n + 1e-9, 4) AS value FROM s JOIN (SELECT merged_id, sqrt(sum(x * x)) AS n FROM s GROUP BY merged_id) USING (merged_id)""",
+        "py_preprocess": "SELECT doc_id, " + MODEL_CLEAN.format("text") + " AS text FROM documents",
         "clean_field_name": r"SELECT p_partkey, trim(regexp_replace(regexp_replace('  ' || replace(p_name, ' ', ' ' || chr(9) || ' ') || '–to—x ', '[–—]', '-', 'g'), '\s+', ' ', 'g')) AS name FROM part",
         "wiki_bracket_clean": r"""SELECT page_id, regexp_replace(regexp_replace(url || '[12] scales.[Citation needed] Whereas [28][29] find sources []', '\[\d+]', '', 'g'),
   '(?i)\[(quantify|which\?|according to whom\?|citation needed|verification needed|)]|This section needs additional citations for verification|Please help improve this article by adding citations to reliable sources in this section|Unsourced material may be challenged and removed|Find sources|Learn how and when to remove this template message', '', 'g') AS text FROM pages""",
