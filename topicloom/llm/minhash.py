@@ -218,7 +218,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (x, y) whose whole shingle sets reach the threshold."""
     ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id")))
-    filt = materialize(key_filter(ids, key_hash("id")), "pair-filter")
+    filt = key_filter(ids, key_hash("id"))
     sets = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_sets), "id long, set binary"), "shingle-sets")
     joined = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("p")), "x").join(
         sets.select(F.col("id").alias("y"), F.col("set").alias("q")), "y"
@@ -250,7 +250,7 @@ def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | N
 def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
     """Verified links (u, v) between the components of mixed buckets."""
     apart = materialize(apart, "apart")
-    filt = materialize(key_filter(apart, key_hash("rep")), "apart-filter")
+    filt = key_filter(apart, key_hash("rep"))
     full = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_full), "rep long, sig binary, set binary"), "apart-sets")
     big, small = f"cast(ceil(n_major / {BLOCK}) as int)", f"cast(ceil(n_minor / {BLOCK}) as int)"
     own = f"cast(pmod(xxhash64(rep, bucket), if(comp = major, {big}, {small})) as int)"
@@ -302,7 +302,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(
         bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"
     )
-    filt = materialize(key_filter(buckets, key_hash("bucket")), "bucket-filter")
+    filt = key_filter(buckets, key_hash("bucket"))
     shared = maybe_in(bands, key_hash("bucket"), filt)
     stars = (
         shared.join(buckets, "bucket").where("rep <> center").groupBy(F.col("center").alias("x"), F.col("rep").alias("y")).agg(F.lit(1).alias("one"))

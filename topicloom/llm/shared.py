@@ -11,7 +11,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import wraps
+from dataclasses import dataclass
+from functools import reduce, wraps
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +21,13 @@ from pyspark.sql import functions as F
 
 from topicloom.session import make_importable
 
-#: log2 of the bits in a key filter: 2**22 bits are 65,536 words of a long each, whatever the input.
-FILTER_BITS_LOG2 = 22
+#: A key filter spends 16 bits a counted key, between these powers of two. The greater, 2**26 bits, is a table of 2**20
+#: rows of 12 bytes; beyond four million keys it fills up and lets more rows through, never fewer.
+FILTER_BITS_LOG2 = (16, 26)
+#: Rows of a table that may be broadcast: at most this many, of fixed width.
+BROADCAST_ROWS = 200_000
+#: A key is hot when it holds more than one in this many of all rows, so at most this many keys are.
+HOT_ONE_IN = 1000
 
 
 #: Rows and bytes of a batch that goes to Python, where the session doesn't set them. Spark's own 10,000 rows are some
@@ -70,22 +77,56 @@ def intermediate(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPE.reset(token)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in paths:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            delete(spark, path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path that goes at the end of the innermost `intermediate` scope, if there is one."""
     path = fresh_path(spark, name)
     if (open_scope := _SCOPE.get()) is not None:
         open_scope.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: lineage ends there and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(build: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """`build()` written as a table; what it wrote on the way goes as soon as the table stands."""
+    path = scratch_path(spark, name)
+    with intermediate(spark):
+        df = build()
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for added columns that no column of `df` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 ArrowMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -112,38 +153,64 @@ def key_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 
 
-def key_filter(keys: DataFrame, hashed: Column, bits_log2: int = FILTER_BITS_LOG2) -> DataFrame:
-    """One-hash Bloom filter over `hashed` as a table (word, bits) of at most 2**bits_log2 / 64 rows.
+@dataclass
+class KeyFilter:
+    """A blocked Bloom filter as a table (word, bits): two bits of one 64-bit word for each key."""
 
-    False positives only; an empty `keys` gives an empty table. The row bound makes it safe to broadcast.
-    """
-    h = F.col("__f_h")
-    return (
-        keys.select(hashed.alias("__f_h"))
-        .select(
-            _word(h, bits_log2).alias("__f_word"),
-            F.expr("shiftleft(1L, cast(__f_h & 63 as int))").alias("__f_bit"),
-        )
-        .groupBy("__f_word")
-        .agg(F.bit_or("__f_bit").alias("__f_bits"))
-    )
+    table: DataFrame
+    bits_log2: int
+
+    def word(self, h: Column) -> Column:
+        return F.shiftright(h, 12).bitwiseAND(F.lit((1 << (self.bits_log2 - 6)) - 1).cast("long")).cast("int")
+
+
+def _two_bits(h: str) -> str:
+    return f"(shiftleft(1L, cast({h} & 63 as int)) | shiftleft(1L, cast(shiftright({h}, 6) & 63 as int)))"
 
 
-def _word(h: Column, bits_log2: int) -> Column:
-    return F.shiftright(h, 6).bitwiseAND(F.lit((1 << (bits_log2 - 6)) - 1).cast("long")).cast("int")
+def key_filter(keys: DataFrame, hashed: Column) -> KeyFilter:
+    """The filter of `hashed` over `keys`, a table that is read twice: once to count it, once to fill the filter.
+
+    False positives only, about one in fifty; an empty `keys` gives an empty filter.
+    """
+    low, high = FILTER_BITS_LOG2
+    filt = KeyFilter(keys, min(high, max(low, (16 * keys.count()).bit_length())))
+    h = keys.select(hashed.alias("h"))
+    words = h.select(filt.word(F.col("h")).alias("word"), F.expr(_two_bits("h")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    filt.table = materialize(words, "key-filter")
+    return filt
 
 
-def with_filter_flag(df: DataFrame, hashed: Column, filt: DataFrame, flag: str, bits_log2: int = FILTER_BITS_LOG2) -> DataFrame:
+def with_filter_flag(df: DataFrame, hashed: Column, filt: KeyFilter, flag: str) -> DataFrame:
     """Adds boolean `flag`: false where the key is certainly absent from the filter. No shuffle of `df`."""
-    probed = df.withColumn("__f_h", hashed).withColumn("__f_word", _word(F.col("__f_h"), bits_log2))
-    joined = probed.join(F.broadcast(filt), "__f_word", "left")
-    hit = F.expr("coalesce(shiftright(__f_bits, cast(__f_h & 63 as int)) & 1 = 1, false)")
-    return joined.withColumn(flag, hit).select(*[F.col(f"`{c}`") for c in df.columns], flag)
+    h, at, word, bits = own_names(df, "f_h", "f_at", "f_word", "f_bits")
+    probed = df.withColumn(h, hashed).withColumn(at, filt.word(F.col(h)))
+    joined = probed.join(F.broadcast(filt.table.toDF(word, bits)), F.col(at) == F.col(word), "left")
+    hit = F.expr(f"coalesce({bits} & {_two_bits(h)} = {_two_bits(h)}, false)")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], hit.alias(flag))
 
 
-def maybe_in(df: DataFrame, hashed: Column, filt: DataFrame, bits_log2: int = FILTER_BITS_LOG2) -> DataFrame:
+def maybe_in(df: DataFrame, hashed: Column, filt: KeyFilter) -> DataFrame:
     """The rows whose key may be in the filter."""
-    return with_filter_flag(df, hashed, filt, "__f_maybe", bits_log2).where("__f_maybe").drop("__f_maybe")
+    flag = own_names(df, "f_maybe")[0]
+    return with_filter_flag(df, hashed, filt, flag).where(F.col(flag)).drop(flag)
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """`rows` joined with `table`, which has one row for each combination of `keys` and in `weight` the number of rows
+    that it will meet, of `total` in all. Both are read several times, so they should be materialised.
+
+    A table of few rows is broadcast. Else its hot rows are, HOT_ONE_IN at most, and the rows of those keys stay where
+    they are; only the rest is shuffled, in which no key holds more than one in HOT_ONE_IN of the rows.
+    """
+    assert how in ("inner", "left")
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys, how)
+    least = total // HOT_ONE_IN
+    hot, rest = table.where(F.col(weight) > least), table.where(F.col(weight) <= least)
+    near = rows.join(F.broadcast(hot), keys)
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, how)
+    return near.unionByName(far)
 
 
 def without_keys(df: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataFrame:
@@ -152,14 +219,11 @@ def without_keys(df: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataF
     Rows that the filter rules out pass through untouched, so only rows that may match are shuffled.
     """
     names = list(on)
-    keys = keys.select(*[F.col(n).alias(f"_k_{n}") for n in names])
-    hashed_keys = key_hash(*[f"_k_{n}" for n in names])
-    filt = materialize(key_filter(keys, hashed_keys), "key-filter")
-    flagged = with_filter_flag(df, key_hash(*on.values()), filt, "__f_maybe")
-    sure = flagged.where(~F.col("__f_maybe")).drop("__f_maybe")
-    cond = None
-    for n in names:
-        c = on[n].eqNullSafe(F.col(f"_k_{n}"))
-        cond = c if cond is None else cond & c
-    checked = flagged.where("__f_maybe").drop("__f_maybe").join(keys, cond, "left_anti")
+    mine = own_names(df, *[f"k_{n}" for n in names])
+    flag = own_names(df, "f_maybe")[0]
+    keys = materialize(keys.select(*[F.col(n).alias(k) for n, k in zip(names, mine, strict=True)]), "keys")
+    flagged = with_filter_flag(df, key_hash(*on.values()), key_filter(keys, key_hash(*mine)), flag)
+    sure = flagged.where(~F.col(flag)).drop(flag)
+    cond = reduce(and_, [on[n].eqNullSafe(F.col(k)) for n, k in zip(names, mine, strict=True)])
+    checked = flagged.where(F.col(flag)).drop(flag).join(keys, cond, "left_anti")
     return sure.unionByName(checked)

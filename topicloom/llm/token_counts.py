@@ -113,7 +113,7 @@ def token_counts(
     wanted = materialize(
         keyed.groupBy("content_digest").agg(F.min("id").alias("id")).join(cached, "content_digest", "left_anti"), "misses"
     )
-    filt = materialize(key_filter(wanted, key_hash("id")), "miss-filter")
+    filt = key_filter(wanted, key_hash("id"))
     bodies = docs.select(ident.alias("id"), text.alias("text"))
     maybe = maybe_in(bodies, key_hash("id"), filt)
     wanted = wanted.select(F.col("id").alias("__id"), F.col("content_digest").alias("__digest"))

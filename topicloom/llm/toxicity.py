@@ -295,7 +295,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = known.count()
     share = min(1.0, max_rows / max(1, total))
     picked = materialize(known.where(F.pmod(F.xxhash64(F.col("__lid"), F.lit(31)), F.lit(1 << 20)) < int(share * (1 << 20))), "labelled")
-    filt = materialize(key_filter(picked, key_hash("__lid")), "label-filter")
+    filt = key_filter(picked, key_hash("__lid"))
     body = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     sample = materialize(maybe_in(body, key_hash("id"), filt).join(picked, F.col("id") == F.col("__lid")).select("id", "text", "toxic"), "sample")
     counts = dict(sample.groupBy("toxic").count().collect())

@@ -46,7 +46,7 @@ def _records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_byt
         rows.where(F.col("n") >= min_bytes).groupBy("digest", "n").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     )
     groups = materialize(groups.select(F.col("digest").alias("g_digest"), F.col("n").alias("g_n"), "first"), "payload-groups")
-    filt = materialize(key_filter(groups, key_hash("g_digest")), "payload-filter")
+    filt = key_filter(groups, key_hash("g_digest"))
     flagged = with_filter_flag(rows, key_hash("digest"), filt, "maybe")
     alone = flagged.where("not maybe").withColumn("first", F.lit(None).cast("long"))
     shared = flagged.where("maybe").join(groups, (F.col("digest") == F.col("g_digest")) & (F.col("n") == F.col("g_n")), "left")
