@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding with segmentations sampled without replacement.
 
-A text is cut into units at every word mark and line end (units of more than UNIT_BYTES at a character). Each
-distinct unit of a batch becomes a lattice of vocabulary pieces, with byte pieces where no piece starts. A piece
-weighs -log(1 + rank), rank being its place in the merge order, so the product over pieces is a distribution over
-all segmentations of the text; backward sums give the chance of every arc.
+The lattice of a text has an arc for every vocabulary piece at every place, and byte pieces where a character is no
+piece itself. A piece weighs -log(2 + rank), rank being its place in the merge order, so the product over pieces is a
+distribution over all segmentations of the text; backward sums give the chance of every arc. Between two characters
+that no piece has side by side every segmentation has a border, so the lattice is cut there without loss: it is the
+chain of its units, and equal units of a chunk share one.
 
 Sampling is A* over the tree of partial segmentations with Gumbel noise: a node's perturbed value is the largest of
 the leaves below it. The root draws it, the arc picked by chance keeps it, every other arc draws its own below it
@@ -18,6 +19,7 @@ import hashlib
 import importlib
 from collections.abc import Iterator
 from functools import lru_cache
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,12 @@ from topicloom.llm.shingles import U64, _powers, mix
 
 SAMPLES = 2
 SEED = 17
-UNIT_BYTES = 48
+#: Units of more bytes are summed node by node, and walked by a chain of picks made for all their nodes at once.
+LONG_UNIT = 64
+#: Arcs that a bank of lattices has when it is emptied, of 32 bytes each.
+BANK_ARCS = 3_000_000
 #: Texts are taken in chunks of about this many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 17
 MARK = "▁".encode()
 #: Frontier noise has 32 bits, so no arc's value exceeds the log-probability of the path before it by this much.
 REACH = 23.0
@@ -55,6 +60,7 @@ class Vocabulary:
         self.byte_id = np.zeros(256, dtype=np.int32)
         edges: dict[tuple[int, int], int] = {}
         piece_of = [-1]
+        spoken: list[str] = []
         weight = np.zeros(sp.get_piece_size())
         for i in range(sp.get_piece_size()):
             weight[i] = -np.log(2.0 + max(0.0, -sp.get_score(i)))
@@ -62,8 +68,9 @@ class Vocabulary:
                 self.byte_id[int(sp.id_to_piece(i)[3:5], 16)] = i
                 weight[i] = -np.log(2.0 + sp.get_piece_size())
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+                spoken.append(sp.id_to_piece(i))
                 node = 0
-                for b in sp.id_to_piece(i).encode():
+                for b in spoken[-1].encode():
                     nxt = edges.get((node, b))
                     if nxt is None:
                         nxt = edges[node, b] = len(piece_of)
@@ -72,6 +79,7 @@ class Vocabulary:
                 piece_of[node] = i
         self.weight = weight
         self._spelling()
+        self._neighbours(spoken)
         self.piece_of = np.array(piece_of, dtype=np.int32)
         bits = (4 * len(edges)).bit_length()
         self.shift = U64(64 - bits)
@@ -99,6 +107,23 @@ class Vocabulary:
         self.spelt_size = np.array([len(x) for x in spelt])
         self.spelt_at = np.cumsum(self.spelt_size) - self.spelt_size
 
+    def _neighbours(self, pieces: list[str]) -> None:
+        """Which characters some piece has side by side: a table over the characters of all pieces, 0 being any other."""
+        codes = np.unique(np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32))
+        self.char_class = np.zeros(0x110000, dtype=np.int32)
+        self.char_class[codes] = np.arange(1, len(codes) + 1)
+        self.classes = len(codes) + 1
+        self.side_by_side = np.zeros(self.classes**2, dtype=bool)
+        for piece in pieces:
+            own = self.char_class[np.frombuffer(piece.encode("utf-32-le"), dtype=np.uint32)]
+            self.side_by_side[own[:-1] * self.classes + own[1:]] = True
+
+    def borders(self, data: np.ndarray) -> np.ndarray:
+        """Positions in UTF-8 `data`, the start left out, that no piece reaches across."""
+        own = self.char_class[np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)]
+        free = ~self.side_by_side[own[:-1] * self.classes + own[1:]]
+        return np.flatnonzero((data & 0xC0) != 0x80)[1:][free]
+
     def texts(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
         """The text of each list of ids, list i being ids[bounds[i] : bounds[i + 1]]; the first piece's leading space goes."""
         size = self.spelt_size[ids]
@@ -140,7 +165,9 @@ class Vocabulary:
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    v = Vocabulary(path)
+    v.bank = Bank(v)
+    return v
 
 
 def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -158,12 +185,16 @@ class Lattices:
     def __init__(self, v: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray):
         self.start, self.end = start, end
         size = len(data)
-        unit_end = np.repeat(end, end - start)
+        unit_end = np.repeat(end, end - start).astype(np.int32)
         at = np.flatnonzero((data & 0xC0) != 0x80)
         node = np.zeros(len(at), dtype=np.int32)
         count = np.zeros(size, dtype=np.int64)
         found: list[tuple[np.ndarray, np.ndarray, int, np.ndarray]] = []
         depth = 0
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        wide = np.zeros(size, dtype=np.int64)
+        wide[lead] = np.diff(np.append(lead, size))
+        named = np.zeros(size, dtype=bool)
         while len(at):
             live = at + depth < unit_end[at]
             at, node = at[live], node[live]
@@ -175,9 +206,11 @@ class Lattices:
             whole = piece >= 0
             found.append((at[whole], count[at[whole]].copy(), depth, piece[whole]))
             count[at[whole]] += 1
-        bare = np.flatnonzero(count == 0)
+            named[at[whole & (wide[at] == depth)]] = True
+        # Bytes stand for a character that is no piece itself, even where a longer piece begins.
+        bare = np.flatnonzero(~named)
         found.append((bare, count[bare].copy(), 1, v.byte_id[data[bare]]))
-        count[bare] = 1
+        count[bare] += 1
         self.first = np.zeros(size + 1, dtype=np.int64)
         np.cumsum(count, out=self.first[1:])
         n = int(self.first[-1])
@@ -186,43 +219,123 @@ class Lattices:
         for p, rank, length, piece in found:
             to = self.first[p] + rank
             self.piece[to], self.length[to] = piece, length
-        self.node = np.repeat(np.arange(size), count)
+        self.node = np.repeat(np.arange(size, dtype=np.int32), count)
         self._backward(v, unit_end, count)
 
     def _backward(self, v: Vocabulary, unit_end: np.ndarray, count: np.ndarray) -> None:
+        """Sums from the units' ends; LONG_UNIT bytes can't leave the range of a double, so they need no logarithms."""
         size = len(count)
         weight = v.weight[self.piece]
-        beta = np.zeros(size + 1)
-        self.chance = np.empty(len(weight))  # of an arc given its node, as a logarithm
-        left = unit_end - np.arange(size)
-        order = np.argsort(left.astype(np.int16), kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
+        beta = np.ones(size + 1)
+        p = np.exp(weight)
+        left = unit_end - np.arange(size, dtype=np.int32)
+        # What follows an arc to its unit's end is 1; beta there is that of the next unit until it is set.
+        to = np.where(self.length == np.repeat(left, count), size, self.node + self.length)
+        short = np.flatnonzero(np.repeat(self.end - self.start <= LONG_UNIT, self.end - self.start))
+        order = short[np.argsort(left[short].astype(np.int8), kind="stable")]
+        bounds = np.searchsorted(left[order], np.arange(1, LONG_UNIT + 2))
+        first = self.first
         for k in range(len(bounds) - 1):
             nodes = order[bounds[k] : bounds[k + 1]]
             if not len(nodes):
                 continue
             c = count[nodes]
-            arcs = _ranges(self.first[nodes], c)
-            to = self.node[arcs] + self.length[arcs]
-            value = weight[arcs] + np.where(to < np.repeat(unit_end[nodes], c), beta[to], 0.0)
             seg = np.cumsum(c) - c
-            top = np.maximum.reduceat(value, seg)
-            total = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, c)), seg))
+            arcs = np.arange(seg[-1] + c[-1]) + np.repeat(first[nodes] - seg, c)
+            value = p[arcs] * beta[to[arcs]]
+            total = np.add.reduceat(value, seg)
             beta[nodes] = total
-            self.chance[arcs] = value - np.repeat(total, c)
-        p = np.exp(self.chance)
-        upto = np.cumsum(p)
-        self.upto = upto - np.repeat(upto[self.first[:-1]] - p[self.first[:-1]], count)
+            p[arcs] = value / np.repeat(total, c)
+        self.chance, self.p = np.log(p), p  # of an arc given its node
+        for a, b in zip(self.start.tolist(), self.end.tolist(), strict=True):
+            if b - a > LONG_UNIT:
+                self._backward_long(a, b, weight)
+                lo, hi = first[a], first[b]
+                p[lo:hi] = np.exp(self.chance[lo:hi])
+
+    def _backward_long(self, a: int, b: int, weight: np.ndarray) -> None:
+        """The same for one unit, from its end."""
+        lo, hi = int(self.first[a]), int(self.first[b])
+        first, length, own = (self.first[a : b + 1] - lo).tolist(), self.length[lo:hi].tolist(), weight[lo:hi].tolist()
+        beta, chance = [0.0] * (b - a + 1), [0.0] * (hi - lo)
+        for i in range(b - a - 1, -1, -1):
+            arcs = range(first[i], first[i + 1])
+            value = [own[k] + beta[i + length[k]] for k in arcs]
+            top = max(value)
+            beta[i] = total = top + log(sum([exp(x - top) for x in value]))
+            for k, x in zip(arcs, value, strict=True):
+                chance[k] = x - total
+        self.chance[lo:hi] = chance
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         arc, last = self.first[node], self.first[node + 1] - 1
-        todo = np.flatnonzero((u > self.upto[arc]) & (arc < last))
+        u = u - self.p[arc]
+        todo = np.flatnonzero((u > 0) & (arc < last))
         while len(todo):
             arc[todo] += 1
-            todo = todo[(u[todo] > self.upto[arc[todo]]) & (arc[todo] < last[todo])]
+            rest = u[todo] - self.p[arc[todo]]
+            u[todo] = rest
+            todo = todo[(rest > 0) & (arc[todo] < last[todo])]
         return arc
 
 
+class Bank(Lattices):
+    """The lattices of units met so far, so that a word of many chunks is built once; emptied when it has BANK_ARCS."""
+
+    PARTS = ("piece", "length", "node", "chance", "p")
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+        self._empty()
+
+    def _empty(self) -> None:
+        self._room = {k: np.zeros(0, dtype=d) for k, d in (("piece", np.int32), ("length", np.int32), ("node", np.int64), ("chance", float), ("p", float), ("first", np.int64))}
+        self._room["first"] = np.zeros(1, dtype=np.int64)
+        self.start = self.end = np.zeros(0, dtype=np.int64)
+        self.hashes, self.order = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
+        self._used = {**dict.fromkeys(self.PARTS, 0), "first": 1}
+        self._show()
+
+    def _show(self) -> None:
+        for k, n in self._used.items():
+            setattr(self, k, self._room[k][:n])
+
+    def _append(self, k: str, values: np.ndarray) -> None:
+        n = self._used[k]
+        if n + len(values) > len(self._room[k]):
+            self._room[k] = np.concatenate([self._room[k][:n], np.empty(n + len(values), dtype=self._room[k].dtype)])
+        self._room[k][n : n + len(values)] = values
+        self._used[k] = n + len(values)
+
+    def units(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The place in the bank of every unit data[start[i] : start[i + 1]]."""
+        if len(self.p) > BANK_ARCS:
+            self._empty()
+        h = _unit_hashes(data, start)
+        at = np.searchsorted(self.hashes, h)
+        known = np.append(self.hashes, U64(0))[at] == h
+        known[at == len(self.hashes)] = False
+        fresh, example = np.unique(h[~known], return_index=True)
+        if len(fresh):
+            own, places = np.flatnonzero(~known)[example], len(self.start)
+            sizes = start[own + 1] - start[own]
+            turn = (np.cumsum(sizes) - sizes) // CHUNK_BYTES  # built some at a time, so that a long text needs no more room
+            for t in np.unique(turn):
+                size, begin = sizes[turn == t], start[own[turn == t]]
+                end = np.cumsum(size)
+                lat = Lattices(self.v, data[_ranges(begin, size)], end - size, end)
+                nodes, arcs = len(self.first) - 1, len(self.p)
+                for k in self.PARTS:
+                    self._append(k, getattr(lat, k) + nodes if k == "node" else getattr(lat, k))
+                self._append("first", lat.first[1:] + arcs)
+                self._show()
+                self.start, self.end = np.append(self.start, lat.start + nodes), np.append(self.end, lat.end + nodes)
+            where = np.searchsorted(self.hashes, fresh)
+            self.hashes, self.order = np.insert(self.hashes, where, fresh), np.insert(self.order, where, places + np.arange(len(fresh)))
+            at = np.searchsorted(self.hashes, h)
+        return self.order[at]
+
+
 def _uniform(key: np.ndarray, *place, bits: int = 52) -> np.ndarray:
     """In (0, 1), from the row's key and a place."""
     x = key
@@ -238,39 +351,43 @@ def _walk(lat: Lattices, at: np.ndarray, end: np.ndarray, key: np.ndarray, place
     count = np.zeros(n, dtype=np.int64)
     who = np.flatnonzero(at < end)
     steps = []
-    while len(who):
-        u = _uniform(key[who], place[who], at[who] - end[who] + (sample << 8))
+    while len(who) and len(steps) < LONG_UNIT:
+        u = _uniform(key[who], place[who], at[who] - end[who] + (sample << 40))
         arc = lat.pick(at[who], u)
         steps.append((who, arc))
         count[who] += 1
         at[who] += lat.length[arc]
         who = who[at[who] < end[who]]
+    rest = {}
+    for w in who.tolist():
+        nodes = np.arange(at[w], end[w])
+        arc = lat.pick(nodes, _uniform(key[w : w + 1], place[w : w + 1], nodes - end[w] + (sample << 40)))
+        onward, chain, i = lat.length[arc].tolist(), [], 0
+        while i < len(onward):
+            chain.append(i)
+            i += onward[i]
+        rest[w] = arc[chain]
+        count[w] += len(chain)
     offset = np.cumsum(count) - count
     out = np.empty(int(count.sum()), dtype=np.int64)
     for k, (w, arc) in enumerate(steps):
         out[offset[w] + k] = arc
+    for w, arc in rest.items():
+        out[offset[w] + len(steps) : offset[w] + count[w]] = arc
     return out, count
 
 
-def _units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _units(v: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The normalised texts end to end, the units' starts (and the end), and each text's first unit (and the last)."""
     normal = [MARK + t.replace(b" ", MARK) if t else b"" for t in texts]
     data = np.frombuffer(b"".join(normal), dtype=np.uint8)
     ends = np.cumsum([len(t) for t in normal])
     begins = ends - np.array([len(t) for t in normal])
     cut = np.zeros(len(data) + 1, dtype=bool)
-    cut[:-3] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81) if len(data) > 2 else False
-    line = np.flatnonzero(data == 10)
-    cut[line] = True
-    cut[line + 1] = True
+    cut[v.borders(data)] = True
     cut[begins] = True
     cut[len(data)] = True
     start = np.flatnonzero(cut)
-    while len(long := np.flatnonzero(np.diff(start) > UNIT_BYTES)):
-        at = start[long] + UNIT_BYTES
-        for _ in range(3):
-            at = np.where((data[at] & 0xC0) == 0x80, at - 1, at)
-        start = np.union1d(start, at)
     return data, start, np.searchsorted(start, np.append(begins, len(data)))
 
 
@@ -281,26 +398,26 @@ _CODE = mix(np.arange(1, 257, dtype=U64))
 
 def _unit_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     n = len(data)
-    if n >= len(_POWERS[0]):
-        _POWERS[:] = [_powers(_BASE, 2 * n + 1), _powers(pow(_BASE, -1, 2**64), 2 * n + 1)]
+    up, down = _POWERS
+    if n >= len(up):
+        up, down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 2**64), n + 1)
+        if n <= 8 * CHUNK_BYTES:
+            _POWERS[:] = up, down
     total = np.zeros(n + 1, dtype=U64)
-    np.cumsum(_CODE[data] * _POWERS[0][:n], out=total[1:])
-    return mix((total[start[1:]] - total[start[:-1]]) * _POWERS[1][start[:-1]] + np.diff(start).astype(U64))
+    np.cumsum(_CODE[data] * up[:n], out=total[1:])
+    return mix((total[start[1:]] - total[start[:-1]]) * down[start[:-1]] + np.diff(start).astype(U64))
 
 
 def sample_chunk(v: Vocabulary, texts: list[bytes], keys: np.ndarray, k: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
     """(text, sample, piece ids, log_prob, perturbed, log_inclusion), up to k for each text; an empty text has one."""
     n = len(texts)
-    data, start, first_unit = _units(texts)
+    data, start, first_unit = _units(v, texts)
     if not len(data):
         for i in range(n):
             yield i, 0, np.zeros(0, dtype=np.int32), 0.0, float(-np.log(-np.log(_uniform(keys[i : i + 1], 0)[0]))), 0.0
         return
-    h = _unit_hashes(data, start)
-    _, example, which = np.unique(h, return_index=True, return_inverse=True)
-    size = start[example + 1] - start[example]
-    own_end = np.cumsum(size)
-    lat = Lattices(v, data[_ranges(start[example], size)], own_end - size, own_end)
+    lat = v.bank
+    which = lat.units(data, start)
     unit_text = np.repeat(np.arange(n), np.diff(first_unit))
     place = np.arange(len(which)) - first_unit[:-1][unit_text]
     begin, end = lat.start[which], lat.end[which]
@@ -417,6 +534,23 @@ def sample_chunk(v: Vocabulary, texts: list[bytes], keys: np.ndarray, k: int) ->
             yield int(i), r, ids[bounds[i] : bounds[i + 1]], float(logp[i]), float(value[i]), float(inclusion[i])
 
 
+def segmentation_log_prob(v: Vocabulary, text: str, ids: list[int]) -> float:
+    """The log-probability of a segmentation of `text`; minus infinity if its lattice has no such path."""
+    data, start, _ = _units(v, [text.encode()])
+    if not len(data) or not len(ids):
+        return 0.0 if not len(data) and not len(ids) else -np.inf
+    lat = Lattices(v, data, start[:-1], start[1:])
+    at, total = 0, 0.0
+    for i in ids:
+        arcs = range(lat.first[at], lat.first[at + 1]) if at < len(data) else ()
+        arc = next((a for a in arcs if lat.piece[a] == i), None)
+        if arc is None:
+            return -np.inf
+        total += lat.chance[arc]
+        at += int(lat.length[arc])
+    return float(total) if at == len(data) else -np.inf
+
+
 def row_keys(ids: list[int | None], seed: int = SEED) -> np.ndarray:
     own = np.array([-1 if i is None else i for i in ids], dtype=np.int64).astype(U64) + U64(1)
     return mix(own + mix(np.array([seed], dtype=U64))[0])
@@ -431,7 +565,13 @@ def encode(path: str, text: str) -> list[int]:
     return vocabulary(path).sp.encode(text)
 
 
-def _sampler(path: str, k: int, seed: int, keep_text: bool):
+def _round_trip(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray, texts: pa.Array) -> pa.Array:
+    """Whether each list of ids decodes to its text; the library has a space where a text holds the word mark itself."""
+    texts = pa.compute.replace_substring(texts.fill_null(""), MARK.decode(), " ")
+    return pa.compute.equal(v.texts(ids, bounds), texts)
+
+
+def _sampler(path: str, k: int, seed: int, round_trip: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for b in batches:
@@ -445,6 +585,7 @@ def _sampler(path: str, k: int, seed: int, keep_text: bool):
                     size += len(chunk[-1])
                 rows = list(sample_chunk(v, chunk, row_keys(ids[i : i + len(chunk)], seed), k))
                 bounds = np.append(0, np.cumsum([len(r[2]) for r in rows])).astype(np.int32)
+                pieces = np.concatenate([r[2] for r in rows])
                 columns = [
                     pa.array([ids[i + r[0]] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int32()),
@@ -453,12 +594,12 @@ def _sampler(path: str, k: int, seed: int, keep_text: bool):
                     pa.array([r[4] for r in rows], pa.float64()),
                     pa.array([r[5] for r in rows], pa.float64()),
                     pa.array([hashlib.sha256(r[2].astype("<i4").tobytes()).hexdigest() for r in rows], pa.string()),
-                    pa.ListArray.from_arrays(bounds, np.concatenate([r[2] for r in rows])),
+                    pa.ListArray.from_arrays(bounds, pieces),
                 ]
                 names = ["id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_sha256", "piece_ids"]
-                if keep_text:
-                    columns.append(texts.take(pa.array([i + r[0] for r in rows], pa.int64())))
-                    names.append("text")
+                if round_trip:
+                    columns.append(_round_trip(v, pieces, bounds, texts.take(pa.array([i + r[0] for r in rows], pa.int64()))))
+                    names.append("round_trip")
                 yield pa.RecordBatch.from_arrays(columns, names)
                 i += len(chunk)
 
@@ -466,10 +607,11 @@ def _sampler(path: str, k: int, seed: int, keep_text: bool):
 
 
 def sampled_segmentations(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = SEED, path: str | None = None, keep_text: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, seed: int = SEED, path: str | None = None, round_trip: bool = False
 ) -> DataFrame:
     """Up to k rows per row of `docs`: id_col, sample (0 first), n_pieces, log_prob, perturbed, log_inclusion,
-    ids_sha256 (of the ids as little-endian int32), piece_ids and, with `keep_text`, text.
+    ids_sha256 (of the ids as little-endian int32), piece_ids and, with `round_trip`, whether the ids, decoded again, are
+    the whole text.
 
     Samples of a text are distinct; a text with fewer than k segmentations has fewer rows, with inclusion 1. Null and
     empty texts have the one empty segmentation. Rows with the same identifier and text get the same samples, and
@@ -479,7 +621,7 @@ def sampled_segmentations(
     prepare(docs.sparkSession)
     slim = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"cast(`{text_col}` as string) as text")
     schema = "id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string, piece_ids array<int>"
-    out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, keep_text)), schema + (", text string" if keep_text else ""))
+    out = slim.mapInArrow(lean(_sampler(path or model_path(), k, seed, round_trip)), schema + (", round_trip boolean" if round_trip else ""))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -517,7 +659,4 @@ def decoded_segmentations(encoded: DataFrame, ids_col: str = "piece_ids", out_co
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two samples of every document with their ids, decoded again; round_trip: the decoded text is the document's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decoded_segmentations(sampled_segmentations(docs, keep_text=True))
-    # The library has a space where a text holds the word mark itself.
-    same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(MARK.decode()), F.lit(" "))
-    return both.withColumn("round_trip", same).drop("text", "decoded")
+    return sampled_segmentations(docs, round_trip=True)
