@@ -135,7 +135,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, keep: str, digest, mem
     single = hits.select(F.col("digest").alias(key), F.col(f"{keep}_id").alias(keeper), F.col("n").alias(size))
     single = materialize(single.join(several.withColumnRenamed("digest", key), key, "left_anti"), "verified-hits")
     columns = [F.col(f"`{c}`") for c in (*docs.columns, key, keeper, size)]
-    done = lookup(maybe, single, [key], size, total, "left").select(*columns)
+    done = lookup(maybe, single, [key], size, total, id_col, "left").select(*columns)
     if not several.isEmpty():
         collided = several.withColumnRenamed("digest", key)
         text = own_names(docs, "x_text")[0]

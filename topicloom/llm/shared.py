@@ -115,9 +115,9 @@ def settled(build: Callable[[], DataFrame], spark: SparkSession, name: str) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def own_names(df: DataFrame, *wanted: str) -> list[str]:
-    """Names for added columns that no column of `df` has, whatever the case."""
-    taken = {c.lower() for c in df.columns}
+def own_names(df: DataFrame | list[str], *wanted: str) -> list[str]:
+    """Names for added columns that no column of `df`, or no name of a list, has, whatever the case."""
+    taken = {c.lower() for c in (df if isinstance(df, list) else df.columns)}
     out = []
     for name in wanted:
         while name.lower() in taken:
@@ -196,21 +196,29 @@ def maybe_in(df: DataFrame, hashed: Column, filt: KeyFilter) -> DataFrame:
     return with_filter_flag(df, hashed, filt, flag).where(F.col(flag)).drop(flag)
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, by: str, how: str = "inner") -> DataFrame:
     """`rows` joined with `table`, which has one row for each combination of `keys` and in `weight` the number of rows
-    that it will meet, of `total` in all. Both are read several times, so they should be materialised.
+    that it will meet, of `total` in all. `by` is a column that differs between the rows of a key.
 
-    A table of few rows is broadcast. Else its hot rows are, HOT_ONE_IN at most, and the rows of those keys stay where
-    they are; only the rest is shuffled, in which no key holds more than one in HOT_ONE_IN of the rows.
+    Rows of a hot key are dealt over as many salts as it takes for each to hold at most one in HOT_ONE_IN of all rows,
+    and the hot row of the table is repeated for each salt. Only hot keys and their salts are broadcast, HOT_ONE_IN rows
+    at most. `table` is read twice, so it should be materialised.
     """
     assert how in ("inner", "left")
+    least = max(1, total // HOT_ONE_IN)
+    salt, salts = own_names([*rows.columns, *table.columns], "x_salt", "x_salts")
+    many = F.ceil(F.col(weight) / least).cast("int")
+    hot = table.where(F.col(weight) > least).select(*keys, many.alias(salts))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(salt, F.coalesce(F.pmod(F.xxhash64(by), F.col(salts)), F.lit(0)).cast("int")).drop(salts)
+    repeated = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.greatest(many - 1, F.lit(0)))))
+    return dealt.join(repeated, [*keys, salt], how).drop(salt)
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, by: str, how: str = "inner") -> DataFrame:
+    """As `salted_join`, for a table of narrow rows: while it has at most BROADCAST_ROWS, it is broadcast whole."""
     if table.count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(table), keys, how)
-    least = total // HOT_ONE_IN
-    hot, rest = table.where(F.col(weight) > least), table.where(F.col(weight) <= least)
-    near = rows.join(F.broadcast(hot), keys)
-    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, how)
-    return near.unionByName(far)
+    return salted_join(rows, table, keys, weight, total, by, how)
 
 
 def without_keys(df: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataFrame:

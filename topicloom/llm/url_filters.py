@@ -121,7 +121,7 @@ def filter_urls(captures: DataFrame, changes: DataFrame, id_col: str = "page_id"
     asked = probes.groupBy("kind", "key", "fetched").agg(F.count(F.lit(1)).alias("n"))
     answers = materialize(as_of(asked, changes, exact), "answers")
     found = (
-        lookup(probes, answers, ["kind", "key", "fetched"], "n", base.count())
+        lookup(probes, answers, ["kind", "key", "fetched"], "n", probes.count(), "row")
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("n_entries"), F.min(F.concat_ws(":", "kind", "key")).alias("first_entry"), F.min("valid_from").alias("since"))
     )
