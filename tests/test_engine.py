@@ -1,3 +1,5 @@
+import random
+import re
 from collections import Counter
 
 import pytest
@@ -123,7 +125,16 @@ def test_matcher(spark):
     assert one(spark, "Art parties", lambda c: match.find_terms(c, ["art"])) == ["art"]
     assert one(spark, None, lambda c: match.find_terms(c, ["art"])) == []
     assert one(spark, "art", lambda c: match.find_terms(c, [])) == []
-    assert one(spark, "ab", lambda c: match.find_terms(c, ["a", "b"], "ahocorasick")) == ["a", "b"]
+    assert one(spark, "ab", lambda c: match.find_terms(c, ["a", "b"], "library")) == ["a", "b"]
+
+
+def test_matcher_against_an_alternation():
+    rng = random.Random(3)
+    for _ in range(300):
+        terms = sorted({"".join(rng.choices("abc", k=rng.randint(1, 5))) for _ in range(rng.randint(1, 12))})
+        text_of = "".join(rng.choices("abcd", k=40))
+        pattern = "|".join(sorted(terms, key=lambda t: (-len(t), t)))
+        assert match.leftmost_longest(match.automaton(terms), text_of) == re.findall(pattern, text_of)
 
 
 def test_vectors_and_combination(spark):

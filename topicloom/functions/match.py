@@ -2,45 +2,55 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
-def pattern(terms: list[str]) -> str:
-    """An alternation that prefers longer terms; equal lengths in order of letters."""
-    return "|".join(re.escape(t) for t in sorted(set(filter(None, terms)), key=lambda t: (-len(t), t)))
+def automaton(terms: list[str]):
+    """One automaton of all terms; None if there is none."""
+    import ahocorasick
 
+    a = ahocorasick.Automaton()
+    for t in filter(None, terms):
+        a.add_word(t, t)
+    a.make_automaton()
+    return a if len(a) else None
 
-def find_terms(text: Column, terms: list[str], engine: str = "regex") -> Column:
+
+def leftmost_longest(a, text: str) -> list[str]:
+    """The matches that a scan from the left takes, the longest at each place; one pass, whatever the dictionary's size."""
+    longest: dict[int, str] = {}
+    for end, term in a.iter(text):
+        at = end - len(term) + 1
+        if len(term) > len(longest.get(at, "")):
+            longest[at] = term
+    found, free = [], 0
+    for at in sorted(longest):
+        if at >= free:
+            found.append(longest[at])
+            free = at + len(longest[at])
+    return found
+
+
+def find_terms(text: Column, terms: list[str], engine: str = "leftmost") -> Column:
     """The matched terms of a text, in order, as an array; case-sensitive and blind to word edges.
 
-    "regex" is leftmost-longest. "ahocorasick" is the library's own long iteration, which can drop matches.
+    "leftmost" is leftmost-longest. "library" is the automaton library's own long iteration, which can drop matches.
     `terms` is a dictionary of bounded size that every task holds.
     """
-    if engine not in ("regex", "ahocorasick"):
+    if engine not in ("leftmost", "library"):
         raise ValueError(engine)
     if not any(terms):
         return F.array().cast("array<string>")
 
-    def regex(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        found = re.compile(pattern(terms))
-        for s in batches:
-            yield s.map(lambda t: found.findall(t) if t else [])
-
-    def automaton(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        a = ahocorasick.Automaton()
-        for t in filter(None, terms):
-            a.add_word(t, t)
-        a.make_automaton()
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        a = automaton(terms)
+        scan = leftmost_longest if engine == "leftmost" else lambda a, t: [m for _, m in a.iter_long(t)]
         for s in batches:
-            yield s.map(lambda t: [m for _, m in a.iter_long(t)] if t else [])
-
-    return F.pandas_udf(regex if engine == "regex" else automaton, "array<string>")(text)
-
+            yield s.map(lambda t: scan(a, t) if t else [])
 
+    return F.pandas_udf(search, ArrayType(StringType()))(text)

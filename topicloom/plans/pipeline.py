@@ -13,6 +13,8 @@ from topicloom.functions.text import clean_corpus_text, join_title_abstract
 
 #: Topics left out after review.
 DENIED = ("Process Management", "Access Control")
+#: A taxonomy of at most this many topics is broadcast.
+BROADCAST_TOPICS = 100_000
 FIELDS = "array<struct<name:string,score:double>>"
 EMPTY = f"cast(array() as {FIELDS})"
 
@@ -81,36 +83,66 @@ def no_null_fields(df: DataFrame) -> DataFrame:
     return df.withColumn("fields", F.coalesce("fields", F.expr(EMPTY)))
 
 
-def en_scores(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED, observed_only: bool = False) -> DataFrame:
-    """New scores, and old ones of documents still in the language that weren't scored anew, without denied topics.
+def en_long(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED) -> tuple[DataFrame, DataFrame]:
+    """(merged_id) and (merged_id, name, score): new scores, and old ones of documents still in the language that weren't
+    scored anew. Denied topics have no score, but a document whose every topic is denied stays among the identifiers."""
+    in_lang = language_meta(meta, sources, lang).select("merged_id").distinct()
+    old = prod.join(new.select("merged_id").distinct(), "merged_id", "left_anti").join(in_lang, "merged_id", "left_semi")
+    both = new.select("merged_id", "name", "score").unionByName(old.select("merged_id", "name", "score"))
+    return both.select("merged_id").distinct(), both.where(~F.col("name").isin(*denied))
 
-    `new` and `prod` are (merged_id, fields), `prod` with is_imputed where `observed_only` is wanted. A document
-    whose every topic is denied keeps an empty array; one scored with no topic at all drops out of `new`.
+
+def en_scores(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED, observed_only: bool = False) -> DataFrame:
+    """The same over nested tables: `new` and `prod` are (merged_id, fields), `prod` with is_imputed where `observed_only`
+    is wanted. A document whose every topic is denied keeps an empty array, and so does an old one without topics; a new
+    one scored with no topic at all drops out.
     """
     in_lang = language_meta(meta, sources, lang).select("merged_id").distinct()
     if observed_only:
         prod = prod.where(~F.col("is_imputed"))
     old = no_null_fields(prod.select("merged_id", "fields")).join(new, "merged_id", "left_anti").join(in_lang, "merged_id", "left_semi")
-    fresh = nest(unnest(new, "merged_id"), "merged_id")
+    fresh = new.where(F.size("fields") > 0).groupBy("merged_id").agg(F.array_sort(F.flatten(F.collect_list("fields"))).alias("fields"))
     both = fresh.unionByName(old.select("merged_id", F.col("fields").cast(FIELDS).alias("fields")))
     return both.withColumn("fields", F.filter("fields", lambda f: ~f["name"].isin(*denied)))
 
 
-def neighbor_scores(edges: DataFrame, scored: DataFrame) -> DataFrame:
-    """(merged_id, neighbor_id, fields): scored citation neighbours of documents without scores, either direction."""
+def neighbor_pairs(edges: DataFrame, scored_ids: DataFrame) -> DataFrame:
+    """(merged_id, neighbor_id): scored citation neighbours of documents without scores, either direction, each once."""
     back = edges.select(F.col("ref_id").alias("merged_id"), F.col("merged_id").alias("ref_id"))
-    near = edges.select("merged_id", "ref_id").unionByName(back).distinct().withColumnRenamed("ref_id", "neighbor_id")
-    open_ends = near.join(scored.select("merged_id"), "merged_id", "left_anti")
+    near = edges.select("merged_id", "ref_id").unionByName(back).withColumnRenamed("ref_id", "neighbor_id")
+    known = scored_ids.select("merged_id")
+    # Ends are ruled out before pairs are made distinct, so only those that count are shuffled for it.
+    return near.join(known, "merged_id", "left_anti").join(known.withColumnRenamed("merged_id", "neighbor_id"), "neighbor_id", "left_semi").select("merged_id", "neighbor_id").distinct()
+
+
+def neighbor_scores(edges: DataFrame, scored: DataFrame) -> DataFrame:
+    """(merged_id, neighbor_id, fields) of those pairs."""
     known = no_null_fields(scored).select(F.col("merged_id").alias("neighbor_id"), "fields")
-    return open_ends.join(known, "neighbor_id").select("merged_id", "neighbor_id", "fields")
+    return neighbor_pairs(edges, scored).join(known, "neighbor_id").select("merged_id", "neighbor_id", "fields")
 
 
-def imputed_long(neighbors: DataFrame) -> DataFrame:
-    """(merged_id, neighbors_count, name, avg_neighbors_score, neighbors_with_field_count, score).
+def imputed_from(pairs: DataFrame, scores: DataFrame) -> DataFrame:
+    """(merged_id, neighbors_count, name, avg_neighbors_score, neighbors_with_field_count, score) from neighbour pairs and
+    (merged_id, name, score), in which a document has a name once.
 
-    Neighbours without a topic count as zero for it, and those without any score still count. Every (document,
-    neighbour) pair occurs once, so plain counts suffice where distinct ones would shuffle twice.
+    Neighbours without a topic count as zero for it, and those without any score still count. A pair occurs once, so
+    plain counts suffice where distinct ones would shuffle twice.
     """
+    n = pairs.groupBy("merged_id").agg(F.count("neighbor_id").alias("neighbors_count"))
+    near = scores.select(F.col("merged_id").alias("neighbor_id"), "name", "score")
+    seen = pairs.join(near, "neighbor_id").groupBy("merged_id", "name").agg(F.avg("score").alias("mean"), F.count("score").alias("neighbors_with_field_count"))
+    return seen.join(n, "merged_id").select(
+        "merged_id",
+        "neighbors_count",
+        "name",
+        round4("mean").alias("avg_neighbors_score"),
+        "neighbors_with_field_count",
+        round4(F.col("mean") * (F.col("neighbors_with_field_count") / F.col("neighbors_count"))).alias("score"),
+    )
+
+
+def imputed_long(neighbors: DataFrame) -> DataFrame:
+    """The same from (merged_id, neighbor_id, fields)."""
     n = neighbors.groupBy("merged_id").agg(F.count("neighbor_id").alias("neighbors_count"))
     seen = (
         unnest(neighbors, "merged_id", "neighbor_id")
@@ -132,6 +164,12 @@ def imputed_scores(neighbors: DataFrame) -> DataFrame:
     return imputed_long(neighbors).groupBy("merged_id", "neighbors_count").agg(F.array_sort(F.collect_list(members)).alias("fields"))
 
 
+def field_long(observed: DataFrame, imputed: DataFrame, sources: DataFrame) -> DataFrame:
+    """(merged_id, name, score, is_imputed) of both kinds, for documents that still have a source."""
+    parts = [df.select("merged_id", "name", "score", F.lit(flag).alias("is_imputed")) for df, flag in ((observed, False), (imputed, True))]
+    return parts[0].unionByName(parts[1]).join(sources.select("merged_id"), "merged_id", "left_semi")
+
+
 def field_scores(observed: DataFrame, imputed: DataFrame, sources: DataFrame) -> DataFrame:
     """(merged_id, fields, is_imputed) of both kinds, for documents that still have a source."""
     pick = F.transform("fields", lambda f: F.struct(f["name"].alias("name"), f["score"].alias("score")))
@@ -155,17 +193,22 @@ def field_hierarchy(children: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-def ranked_fields(scores: DataFrame, meta: DataFrame, top: int = 3) -> DataFrame:
-    """(merged_id, level, name, score, field_rank) of each document's best positive topics by level."""
-    long = unnest(scores, "merged_id").where("score > 0").join(meta.select("name", "level"), "name")
+def ranked_long(scores: DataFrame, meta: DataFrame, top: int = 3) -> DataFrame:
+    """(merged_id, level, name, score, field_rank) of each document's best positive topics by level, from long scores."""
+    long = scores.where("score > 0").join(F.broadcast(meta.select("name", "level")) if meta.count() <= BROADCAST_TOPICS else meta.select("name", "level"), "name")
     best = Window.partitionBy("merged_id", "level").orderBy(F.desc("score"), "name")
-    return long.withColumn("field_rank", F.row_number().over(best)).where(F.col("field_rank") <= top)
+    ranked = long.withColumn("field_rank", F.row_number().over(best)).where(F.col("field_rank") <= top)
+    return ranked.select("merged_id", "level", "name", "score", "field_rank")
 
 
-def top_fields(scores: DataFrame, meta: DataFrame) -> DataFrame:
+def ranked_fields(scores: DataFrame, meta: DataFrame, top: int = 3) -> DataFrame:
+    return ranked_long(unnest(scores, "merged_id"), meta, top)
+
+
+def top_long(scores: DataFrame, meta: DataFrame) -> DataFrame:
     """One row a document: fields by level and score, top_l0..3, top_3_l0..3 (empty where a level has none)."""
     members = F.array_sort(F.collect_list(F.struct("level", "field_rank", "name", "score")))
-    rows = ranked_fields(scores, meta).groupBy("merged_id").agg(members.alias("m"))
+    rows = ranked_long(scores, meta).groupBy("merged_id").agg(members.alias("m"))
     at = lambda k: F.transform(F.filter("m", lambda x: x["level"] == k), lambda x: x["name"])
     return rows.select(
         "merged_id",
@@ -175,6 +218,10 @@ def top_fields(scores: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
+def top_fields(scores: DataFrame, meta: DataFrame) -> DataFrame:
+    return top_long(unnest(scores, "merged_id"), meta)
+
+
 def refreshed_corpus(now: DataFrame, before: DataFrame, prod: DataFrame) -> DataFrame:
     """The corpus of record: this run's, and earlier rows that weren't in it and still have scores in production."""
     kept = before.join(now.select("merged_id"), "merged_id", "left_anti").join(prod.select("merged_id"), "merged_id", "left_semi")

@@ -86,44 +86,61 @@ def prev_corpus_refresh(spark, sf_dir):
 
 
 def _en(r: Roles) -> DataFrame:
-    def build():
-        new, prod = pipeline.nest(r.new_scores(), "merged_id"), pipeline.nest(r.prod_scores(), "merged_id")
-        return pipeline.en_scores(new, prod, r.score_meta(), r.sources(), denied=DENIED)
+    """Long scores; every scored document of the fixtures keeps a topic, so identifiers are taken from them."""
+    return r.keep("en_long", lambda: pipeline.en_long(r.new_scores(), r.prod_scores(), r.score_meta(), r.sources(), denied=DENIED)[1])
 
-    return r.keep("en_scores", build)
 
+def _en_ids(r: Roles) -> DataFrame:
+    return r.keep("en_ids", lambda: pipeline.en_long(r.new_scores(), r.prod_scores(), r.score_meta(), r.sources(), denied=DENIED)[0])
 
-def _near(r: Roles) -> DataFrame:
-    return r.keep("neighbor_scores", lambda: pipeline.neighbor_scores(r.edges(), _en(r)))
+
+def _pairs(r: Roles) -> DataFrame:
+    return r.keep("neighbor_pairs", lambda: pipeline.neighbor_pairs(r.edges(), _en_ids(r)))
+
+
+def _imputed(r: Roles) -> DataFrame:
+    return r.keep("imputed_long", lambda: pipeline.imputed_from(_pairs(r), _en(r)))
+
+
+def _field_long(r: Roles) -> DataFrame:
+    return r.keep("field_long", lambda: pipeline.field_long(_en(r), _imputed(r), r.sources()))
 
 
 def _final(r: Roles) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scored, imputed = _en(r), pipeline.imputed_scores(_near(r))
-    return scored, imputed, r.keep("field_scores", lambda: pipeline.field_scores(scored, imputed, r.sources()))
+    """The published tables: nested scores of both kinds, and their union."""
+
+    def build(kind: str):
+        if kind == "observed":
+            nested = pipeline.nest(_en(r), "merged_id")
+            return pipeline.no_null_fields(_en_ids(r).join(nested, "merged_id", "left"))
+        if kind == "imputed":
+            members = F.struct("name", "avg_neighbors_score", "neighbors_with_field_count", "score")
+            return _imputed(r).groupBy("merged_id", "neighbors_count").agg(F.array_sort(F.collect_list(members)).alias("fields"))
+        return pipeline.field_scores(*(r.keep(k, lambda k=k: build(k)) for k in ("observed", "imputed")), r.sources())
+
+    return tuple(r.keep(kind, lambda kind=kind: build(kind)) for kind in ("observed", "imputed", "final"))
 
 
 @query
 def en_scores(spark, sf_dir):
-    return pipeline.unnest(_en(Roles(spark, sf_dir)), "merged_id")
+    return _en(Roles(spark, sf_dir))
 
 
 @query
 def neighbor_scores(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    rows = _near(r)
-    best = F.array_max(F.transform("fields", lambda f: f["score"]))
-    return rows.select("merged_id", "neighbor_id", F.size("fields").cast("long").alias("n_fields"), best.alias("best_score"))
+    per = _en(r).groupBy(F.col("merged_id").alias("neighbor_id")).agg(F.count("name").alias("n_fields"), F.max("score").alias("best_score"))
+    return _pairs(r).join(per, "neighbor_id", "left").select("merged_id", "neighbor_id", F.coalesce("n_fields", F.lit(0)).alias("n_fields"), "best_score")
 
 
 @query
 def imputed_scores(spark, sf_dir):
-    r = Roles(spark, sf_dir)
-    return pipeline.imputed_long(_near(r))
+    return _imputed(Roles(spark, sf_dir))
 
 
 @query
 def field_scores(spark, sf_dir):
-    return pipeline.unnest(_final(Roles(spark, sf_dir))[2], "merged_id", "is_imputed")
+    return _field_long(Roles(spark, sf_dir))
 
 
 @query
@@ -135,7 +152,7 @@ def field_hierarchy(spark, sf_dir):
 @query
 def top_fields(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    top = pipeline.top_fields(_final(r)[2], r.meta_fields())
+    top = pipeline.top_long(_field_long(r), r.meta_fields())
     joined = [F.array_join(f"top_3_l{k}", "|").alias(f"top_3_l{k}") for k in range(4)]
     names = F.array_join(F.transform("fields", lambda f: f["name"]), "|").alias("names")
     return top.select("merged_id", names, *[f"top_l{k}" for k in range(4)], *joined)
@@ -144,7 +161,7 @@ def top_fields(spark, sf_dir):
 @query
 def top_fields_exploded(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    return pipeline.ranked_fields(_final(r)[2], r.meta_fields()).select("merged_id", "level", F.col("field_rank").cast("long").alias("field_rank"), "name", "score")
+    return pipeline.ranked_long(_field_long(r), r.meta_fields()).select("merged_id", "level", F.col("field_rank").cast("long").alias("field_rank"), "name", "score")
 
 
 # Checks
@@ -178,9 +195,9 @@ def _ids_agree(r: Roles) -> DataFrame:
 
 _check("ids_agree", _ids_agree)
 _check("imputed_not_empty", lambda r: checks.not_empty(_final(r)[1]))
-_check("neighbors_not_empty", lambda r: checks.not_empty(_near(r)))
+_check("neighbors_not_empty", lambda r: checks.not_empty(_pairs(r)))
 _check("row_counts", lambda r: checks.same_row_count(r.children(), pipeline.field_hierarchy(r.children(), r.meta_fields())))
-_check("score_range", lambda r: checks.score_range(_en(r)))
+_check("score_range", lambda r: checks.score_range(_final(r)[0]))
 
 
 @query
@@ -505,7 +522,7 @@ def coverage_counts(spark, sf_dir):
 @query
 def level_shares(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    top = pipeline.top_fields(_final(r)[2], r.meta_fields())
+    top = pipeline.top_long(_field_long(r), r.meta_fields())
     parts = [analysis.shares(top.where(F.col(c).isNotNull()), c).select(F.lit(c).alias("level"), F.col(c).alias("name"), "n", "pct") for c in ("top_l0", "top_l1")]
     return parts[0].unionByName(parts[1])
 
