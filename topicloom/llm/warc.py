@@ -2,9 +2,10 @@
 
 Writing: one response record per page, or an identical-payload-digest revisit of the page with the largest
 identifier. Spark's text sink writes them, the record separator being its line separator, so any store it reaches
-will do. Reading: every archive is searched for record magic; each place that parses as a header is a candidate and
-names its successor, the end of its block. Only what pointer jumping reaches from the start of the file is a
-record, so magic inside payloads is rejected however well formed it is.
+will do. A task begins a new archive when its open one has ARCHIVE_BYTES. Reading: a task searches its archive for record
+magic; each place that parses as a header is a candidate and names its successor, the end of its block. Only what
+pointer jumping reaches from the start of the file is a record, so magic inside payloads is rejected however well
+formed it is. An archive's candidates are a few bytes a record and stay in the task that read it; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -14,14 +15,17 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import fresh_path, key_filter, key_hash, materialize, prepare, with_filter_flag
+from topicloom.llm.shared import BATCH_BYTES, exists, key_filter, key_hash, lean, lookup, materialize, prepare, scratch_path, with_filter_flag
 
-#: Records in one archive at most. An archive is read as one value, so it must stay well under 2 GB.
-ARCHIVE_RECORDS = 1000
+#: An archive is closed by the record that takes it to this many bytes. It is read as one value, so it must stay well
+#: under 2 GB, and in the memory of a task.
+ARCHIVE_BYTES = 1 << 25
 MAGIC = b"WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -41,25 +45,47 @@ def _records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_byt
     body = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))
     ident = F.col(f"`{id_col}`").cast("long")
     uri = F.coalesce(F.regexp_replace(F.col(f"`{url_col}`").cast("string"), r"[\x00-\x20\x7F]", "%20"), F.concat(F.lit("urn:x-page:"), F.coalesce(ident.cast("string"), F.lit("null"))))
-    rows = pages.select(ident.alias("id"), uri.alias("uri"), body.alias("body"), sha1_base32(body.cast("binary")).alias("digest"), F.octet_length(body).alias("n"))
-    groups = (
-        rows.where(F.col("n") >= min_bytes).groupBy("digest", "n").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    rows = pages.select(
+        ident.alias("id"), uri.alias("uri"), body.alias("body"), sha1_base32(body.cast("binary")).alias("digest"), F.sha2(body.cast("binary"), 256).alias("sha"), F.octet_length(body).alias("n")
     )
-    groups = materialize(groups.select(F.col("digest").alias("g_digest"), F.col("n").alias("g_n"), "first"), "payload-groups")
-    filt = key_filter(groups, key_hash("g_digest"))
-    flagged = with_filter_flag(rows, key_hash("digest"), filt, "maybe")
-    alone = flagged.where("not maybe").withColumn("first", F.lit(None).cast("long"))
-    shared = flagged.where("maybe").join(groups, (F.col("digest") == F.col("g_digest")) & (F.col("n") == F.col("g_n")), "left")
-    both = alone.unionByName(shared.drop("g_digest", "g_n"))
+    # Payloads are equal when length, SHA-1 and SHA-256 are; copies fold before the shuffle.
+    keys = ["digest", "sha", "n"]
+    groups = materialize(
+        rows.where(F.col("n") >= min_bytes).groupBy(*keys).agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "payload-groups"
+    )
+    flagged = with_filter_flag(rows, key_hash("sha"), key_filter(groups, key_hash("sha")), "maybe")
+    alone = flagged.where("not maybe").drop("maybe").withColumn("first", F.lit(None).cast("long"))
+    shared = lookup(flagged.where("maybe").drop("maybe"), groups, keys, "copies", pages.count(), "id", "left").drop("copies")
     refers = F.when(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first"))
-    return both.select("id", "uri", "body", "n", "digest", refers.alias("refers_to"))
+    return alone.unionByName(shared).select("id", "uri", "body", "n", "digest", refers.alias("refers_to"))
+
+
+def _dealt(most: int):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds the number of the task's archive that a record goes to."""
+        archive = size = 0
+        for b in batches:
+            numbers = []
+            for n in pa.compute.binary_length(b.column(0)).to_pylist():
+                if size >= most:
+                    archive, size = archive + 1, 0
+                size += n + len(SEPARATOR)
+                numbers.append(archive)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(numbers, pa.int32())], ["value", "archive"])
+
+    return deal
 
 
 def write_archives(
-    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, per_archive: int = ARCHIVE_RECORDS
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES
 ) -> None:
     """Writes `pages` as WARC files under `path`. Of payloads that are equal and of at least `min_bytes` bytes the
-    one with the largest identifier is written whole; rows that repeat that identifier are written whole too."""
+    one with the largest identifier is written whole; rows that repeat that identifier are written whole too.
+
+    Null html is an empty payload, a null identifier loses against any other. A record has at most the 2 GB of a Spark
+    string, header and all. Other columns of `pages` are left out. An empty table gives no archive.
+    """
+    prepare(pages.sparkSession)
     r = _records(pages, id_col, url_col, html_col, min_bytes)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n"), F.lit("\r\n\r\n"))
     revisit = F.col("refers_to").isNotNull()
@@ -79,21 +105,24 @@ def write_archives(
         F.octet_length(block),
         F.lit(SEPARATOR),
     )
-    r.select(F.concat(head, block).alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_archive).text(path)
+    records = r.select(F.concat(head, block).alias("value")).mapInArrow(lean(_dealt(archive_bytes)), "value string, archive int")
+    records.write.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
 
 
-_FIELD = re.compile(rb"([A-Za-z-]+): ?([^\r\n]*)\r\n")
+#: A header ends at its first line that is no field, so that magic by the thousand is still read in one pass.
+_HEADER = re.compile(rb"WARC/1\.1\r\n((?:[!-9;-~]++: ?+[^\r\n]*+\r\n)*+)\r\n")
+_FIELD = re.compile(rb"([!-9;-~]++): ?+([^\r\n]*+)\r\n")
 
 
-def _header(data: memoryview | bytes, at: int) -> tuple[dict[bytes, bytes], int] | None:
+def _header(data: bytes, at: int) -> tuple[dict[bytes, bytes], int] | None:
     """The fields of a header at `at` and where its block begins, if it parses."""
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
+    m = _HEADER.match(data, at)
+    if not m:
         return None
-    fields = {k.lower(): v for k, v in _FIELD.findall(data[at + len(MAGIC) : end + 2])}
+    fields = {k.lower(): v for k, v in _FIELD.findall(m[1])}
     if not fields.get(b"content-length", b"").isdigit() or b"warc-type" not in fields:
         return None
-    return fields, end + 4
+    return fields, m.end()
 
 
 def candidates(data: bytes) -> Iterator[tuple[int, int, dict[bytes, bytes], int]]:
@@ -112,72 +141,81 @@ def _page(name: bytes | None) -> int | None:
     return int(tail) if re.fullmatch(rb"-?\d+", tail) else None
 
 
+def reachable(at: np.ndarray, successor: np.ndarray) -> np.ndarray:
+    """Which candidates the chain from offset 0 reaches; `at` ascends, and a successor that is no candidate ends it.
+
+    Pointer jumping: with every round the reached set doubles along the chain, and so do the jumps.
+    """
+    n = len(at)
+    jump = np.searchsorted(at, successor)
+    jump[jump < n] = np.where(at[jump[jump < n]] == successor[jump < n], jump[jump < n], n)
+    jump = np.append(jump, n)  # the end leads to itself
+    reached = np.append(at == 0, False)
+    for _ in range(n.bit_length() + 1):
+        reached[jump[reached]] = True
+        jump = jump[jump]
+    return reached[:n]
+
+
+def records(data: bytes) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:
+    """(offset, fields, block) of the records of an archive."""
+    found = [c for c in candidates(data) if c[1] <= len(data)]
+    kept = reachable(np.array([c[0] for c in found], dtype=np.int64), np.array([c[1] for c in found], dtype=np.int64))
+    for i in np.flatnonzero(kept):
+        at, successor, fields, block = found[i]
+        yield at, fields, data[block : successor - len(SEPARATOR)]
+
+
 def _scan(with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = content.as_py()
-                rows = []
-                for at, successor, f, block in candidates(data):
-                    body = data[block : successor - 4]
+                rows, size = [], 0
+                for at, f, body in records(content.as_py()):
                     http, _, payload = body.partition(b"\r\n\r\n")
                     revisit = f[b"warc-type"] == b"revisit"
                     length = re.search(rb"(?i)\r\nContent-Length: (\d+)", http)
                     own = base64.b32encode(hashlib.sha1(payload).digest()).decode()
                     digest = f.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:") if revisit else own
-                    size = int(length[1]) if revisit and length else len(payload)
+                    n = int(length[1]) if revisit and length else len(payload)
                     refers = _page(f.get(b"warc-refers-to")) if revisit else None
-                    rows.append((path, at, successor, _page(f.get(b"warc-record-id")), f[b"warc-type"].decode(), size, digest, refers, len(data), payload if with_payload else None))
-                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _NAMES)
+                    rows.append((path, at, _page(f.get(b"warc-record-id")), f[b"warc-type"].decode(), n, digest, refers, payload if with_payload else None))
+                    size += len(payload) if with_payload else 0
+                    if size > BATCH_BYTES:
+                        yield _batch(rows)
+                        rows, size = [], 0
+                yield _batch(rows)
 
     return run
 
 
-_NAMES = ["archive", "at", "successor", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "archive_bytes", "payload"]
-_SCHEMA = "archive string, at long, successor long, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, archive_bytes long, payload binary"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _NAMES)
 
 
-def reachable(edges: DataFrame) -> DataFrame:
-    """(archive, at) of the candidates that the chain from offset 0 reaches; `edges` has archive, at, successor.
-
-    Pointer jumping: with every round the reached set doubles along the chain, and so do the jumps.
-    """
-    jumps = materialize(edges.select("archive", "at", "successor").distinct(), "jumps")
-    reached = materialize(jumps.where("at = 0").select("archive", "at"), "reached")
-    n = reached.count()
-    while n:
-        step = reached.join(jumps, ["archive", "at"]).select("archive", F.col("successor").alias("at"))
-        # A successor that is no candidate ends the chain.
-        step = step.join(edges.select("archive", "at"), ["archive", "at"], "left_semi")
-        reached = materialize(reached.union(step).distinct(), "reached")
-        now = reached.count()
-        if now == n:
-            break
-        n = now
-        onward = jumps.select("archive", F.col("at").alias("successor"), F.col("successor").alias("far"))
-        jumps = materialize(jumps.join(onward, ["archive", "successor"]).select("archive", "at", F.col("far").alias("successor")), "jumps")
-    return reached
+_NAMES = ["archive", "at", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
+_SCHEMA = "archive string, at long, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """The records of the WARC files under `path`: archive, at, page_id, record_type, payload_bytes, payload_digest
     (computed from the payload, or for a revisit as stated), refers_to, and payload if asked for.
 
-    A file that doesn't begin with a record has none; one that ends early keeps the records before the break.
+    A file that doesn't begin with a record has none; one that ends early keeps the records before the break. A file
+    beyond 2 GB is refused by Spark. A folder without archives gives an empty result.
     """
     prepare(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    found = files.mapInArrow(_scan(payload), _SCHEMA)
-    found = materialize(found, "candidates")
-    kept = reachable(found.where("successor <= archive_bytes").select("archive", "at", "successor"))
-    out = found.join(kept, ["archive", "at"])
-    return out.drop("successor", "archive_bytes", *[] if payload else ["payload"])
+    if not exists(spark, path):
+        return spark.createDataFrame([], _SCHEMA).drop(*[] if payload else ["payload"])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    found = files.mapInArrow(lean(_scan(payload)), _SCHEMA)
+    return found if payload else found.drop("payload")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    path = fresh_path(spark, "warc")
+    path = scratch_path(spark, "warc")
     write_archives(pages, path)
     return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
