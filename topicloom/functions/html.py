@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from topicloom.functions.text import CITATION, NOTICES
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+INLINE = frozenset("a abbr b bdi big code em font i kbd mark q s samp small span strike strong sub sup tt u var".split())
 #: Elements without article text, and sections whose headings go.
 DROPPED = frozenset(("math", "ref", "nowiki", "cite"))
 CLOSING = frozenset(("See_also", "Bibliography", "External_links"))
@@ -55,8 +56,12 @@ class _Builder(HTMLParser):
         self.root = self.at = Node("")
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p" and self.at.tag == "p":
-            self.at = self.at.parent
+        if tag == "p":  # a paragraph ends where another begins, whatever inline elements are still open in it
+            up = self.at
+            while up.tag in INLINE:
+                up = up.parent
+            if up.tag == "p":
+                self.at = up.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.parts.append(node)
         if tag not in VOID:

@@ -54,3 +54,13 @@ def find_terms(text: Column, terms: list[str], engine: str = "leftmost") -> Colu
             yield s.map(lambda t: scan(a, t) if t else [])
 
     return F.pandas_udf(search, ArrayType(StringType()))(text)
+
+
+def flatten_trie(trie: dict, leaf: str = "") -> Iterator[tuple[list[str], list[float]]]:
+    """(tokens, vector) of every path of a nested dictionary that ends in a vector under the key `leaf`, in key order."""
+    todo: list[tuple[list[str], dict]] = [([], trie)]
+    while todo:
+        path, node = todo.pop()
+        if isinstance(node.get(leaf), list):
+            yield path, node[leaf]
+        todo.extend(([*path, k], node[k]) for k in sorted(node, reverse=True) if k != leaf)

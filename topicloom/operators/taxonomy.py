@@ -13,6 +13,23 @@ def clean_revisions(sheet: DataFrame) -> DataFrame:
     return sheet.select(format_name(F.col("parent_name")).alias("parent_name"), format_name(F.col("child_name")).alias("child_name"), "level")
 
 
+def checked_revisions(sheet: DataFrame) -> DataFrame:
+    """The sheet with its names formatted; fails unless it has one parent, one level, and children that are distinct and
+    named."""
+    rows = clean_revisions(sheet)
+    one = rows.agg(
+        F.count_distinct("parent_name").alias("parents"),
+        F.count_distinct("level").alias("levels"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("child_name").alias("children"),
+        F.count_if((F.coalesce("parent_name", F.lit("")) == "") | (F.coalesce("child_name", F.lit("")) == "")).alias("unnamed"),
+    ).first()
+    faults = [what for what, bad in (("parent", one.parents != 1), ("level", one.levels != 1), ("repeated child", one.children != one.n), ("missing name", one.unnamed)) if bad]
+    if faults:
+        raise ValueError("revision sheet: " + ", ".join(faults))
+    return rows
+
+
 def append_children(meta: DataFrame, children: DataFrame, revisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Adds the revisions' edges, and their children to the topics where they are new."""
     fresh = revisions.select(F.col("child_name").alias("name"), "level").distinct().join(meta, "name", "left_anti")

@@ -35,7 +35,8 @@ counts AS (
   SELECT merged_id, term, count(*) AS tf
   FROM (SELECT merged_id, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS term FROM corpus) GROUP BY ALL),
 dictionary AS (
-  SELECT term AS mention, sum(tf) AS n FROM counts WHERE length(term) > 3 GROUP BY term ORDER BY n DESC, term LIMIT 200),
+  SELECT term AS mention, count(*) AS n FROM counts WHERE length(term) > 3 GROUP BY term
+  HAVING count(*) * 20 >= (SELECT count(DISTINCT merged_id) FROM counts)),
 mentions AS (
   SELECT merged_id, mention, count(*) AS n FROM (
     SELECT merged_id, unnest(regexp_extract_all(text, (SELECT string_agg(mention, '|' ORDER BY length(mention) DESC, mention) FROM dictionary))) AS mention
@@ -123,6 +124,75 @@ src_raw AS (SELECT source, term, tf * log2((SELECT count(DISTINCT source) FROM s
 src_w AS (SELECT source, term, w / n AS w FROM src_raw JOIN (SELECT source, sqrt(sum(w * w)) AS n FROM src_raw GROUP BY source) USING (source) WHERE w <> 0)
 """
 )
+_PICK = "(SELECT string_agg({0}, '|' ORDER BY length({0}) DESC, {0}) FROM {1})"
+TEXT_SCORES = (
+    CORPUS
+    + r"""
+, v AS (SELECT mention, embedding FROM (SELECT mention, row_number() OVER (ORDER BY mention) - 1 AS vec_id FROM dictionary) JOIN vec_docs USING (vec_id)),
+vl AS (SELECT mention AS term, unnest(range(0, len(embedding))) AS pos, unnest(embedding) AS x FROM v),
+vu AS (SELECT term, pos, CASE WHEN n = 0 THEN 0 ELSE x / n END AS x FROM vl JOIN (SELECT term, sqrt(sum(x * x)) AS n FROM vl GROUP BY term) USING (term)),
+srcs AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS place FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+topics AS (SELECT place, source, upper(substr(source, 1, 1)) || substr(source, 2) AS name,
+  CASE WHEN place < 3 THEN 0 WHEN place < 8 THEN 1 WHEN place < 14 THEN 2 ELSE 3 END AS level FROM srcs),
+edges2 AS (SELECT u.name AS parent_name, t.name AS child_name FROM topics t
+  JOIN topics u ON u.place = CASE WHEN t.place < 8 THEN (t.place - 3) % 3 ELSE (t.place - 8) % 5 + 3 END WHERE t.place >= 3),
+tpages AS (SELECT source, arg_min(body, doc_id) AS text FROM (SELECT source, doc_id, """
+    + CLEAN.format("text")
+    + r""" AS body FROM documents WHERE lang = 'en') GROUP BY source),
+fields AS (SELECT row_number() OVER (ORDER BY level, name) - 1 AS index, name, level, text FROM tpages JOIN topics USING (source) WHERE length(trim(text)) > 0),
+both_texts AS (SELECT 'd' AS kind, merged_id AS id, text FROM corpus UNION ALL SELECT 'f', name, text FROM fields),
+tc AS (SELECT kind, id, term, count(*) AS tf FROM (
+  SELECT kind, id, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS term FROM both_texts) GROUP BY ALL),
+tm AS (SELECT kind, id, mention AS term, count(*) AS n FROM (
+  SELECT kind, id, unnest(regexp_extract_all(text, """
+    + _PICK.format("mention", "dictionary")
+    + r""")) AS mention FROM both_texts) GROUP BY ALL),
+dense0 AS (SELECT kind, id, pos, sum(tf * x) AS x FROM tc JOIN vu USING (term) GROUP BY ALL),
+entity0 AS (SELECT kind, id, pos, sum(n * x) AS x FROM tm JOIN vl USING (term) GROUP BY ALL),
+dense AS (SELECT kind, id, pos, CASE WHEN n = 0 THEN 0 ELSE x / n END AS x FROM dense0 JOIN (SELECT kind, id, sqrt(sum(x * x)) AS n FROM dense0 GROUP BY ALL) USING (kind, id)),
+entity AS (SELECT kind, id, pos, CASE WHEN n = 0 THEN 0 ELSE x / n END AS x FROM entity0 JOIN (SELECT kind, id, sqrt(sum(x * x)) AS n FROM entity0 GROUP BY ALL) USING (kind, id)),
+sparse0 AS (SELECT kind, id, term, tf * log2((SELECT count(DISTINCT merged_id) FROM counts) / df) AS x
+  FROM tc JOIN (SELECT term, count(*) AS df FROM counts GROUP BY term) USING (term)),
+sparse AS (SELECT kind, id, term, x / n AS x FROM sparse0 JOIN (SELECT kind, id, sqrt(sum(x * x)) AS n FROM sparse0 GROUP BY ALL) USING (kind, id) WHERE x <> 0),
+s1 AS (SELECT a.id, b.id AS name, sum(a.x * b.x) AS s FROM dense a JOIN dense b USING (pos) WHERE a.kind = 'd' AND b.kind = 'f' GROUP BY ALL),
+s2 AS (SELECT a.id, b.id AS name, sum(a.x * b.x) AS s FROM sparse a JOIN sparse b USING (term) WHERE a.kind = 'd' AND b.kind = 'f' GROUP BY ALL),
+s3 AS (SELECT a.id, b.id AS name, sum(a.x * b.x) AS s FROM entity a JOIN entity b USING (pos) WHERE a.kind = 'd' AND b.kind = 'f' GROUP BY ALL),
+sims AS (SELECT c.merged_id AS id, f.name, f.level, round(coalesce(s1.s, 0) + 1e-9, 6) AS dense, round(coalesce(s2.s, 0) + 1e-9, 6) AS sparse, round(coalesce(s3.s, 0) + 1e-9, 6) AS entity
+  FROM corpus c CROSS JOIN fields f LEFT JOIN s1 ON s1.id = c.merged_id AND s1.name = f.name LEFT JOIN s2 ON s2.id = c.merged_id AND s2.name = f.name
+  LEFT JOIN s3 ON s3.id = c.merged_id AND s3.name = f.name),
+mean3 AS (SELECT *, list_filter([dense, sparse, entity], lambda x: x >= 0 AND x <= 1) AS ok FROM sims),
+avg3 AS (SELECT id, name, level, dense, sparse, entity, CASE WHEN len(ok) = 0 THEN 0 ELSE round(list_sum(ok) / len(ok) + 1e-9, 6) END AS score FROM mean3),
+up3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, level ORDER BY score DESC, name) AS r FROM avg3 WHERE level <= 1) WHERE r <= 3),
+hop2 AS (SELECT DISTINCT a.parent_name AS l0, a.child_name AS l1, b.child_name AS name FROM edges2 a JOIN edges2 b ON a.child_name = b.parent_name
+  JOIN fields m ON a.parent_name = m.name AND m.level = 0),
+open2 AS (SELECT DISTINCT p.id, hop2.name FROM up3 p JOIN up3 q ON p.id = q.id AND p.level = 0 AND q.level = 1 JOIN hop2 ON hop2.l0 = p.name AND hop2.l1 = q.name),
+scored AS (SELECT id, level, name, score FROM avg3 WHERE level <= 1 UNION ALL SELECT a.id, a.level, a.name, a.score FROM avg3 a JOIN open2 USING (id, name) WHERE a.level >= 2),
+terms AS (SELECT mention AS term, row_number() OVER (ORDER BY mention) - 1 AS place FROM dictionary),
+cased AS (SELECT upper(substr(term, 1, 1)) || substr(term, 2) AS term, place FROM terms),
+titled AS (SELECT t.place, t.name, p.text, CASE WHEN t.place % 7 <> 6 THEN a.term END AS title_1, b.term AS title_2, CASE WHEN t.place % 2 = 0 THEN c.term END AS title_3
+  FROM topics t LEFT JOIN tpages p USING (source) LEFT JOIN cased a ON a.place = t.place LEFT JOIN cased b ON b.place - 20 = t.place LEFT JOIN cased c ON c.place - 40 = t.place),
+titles AS (SELECT lower(title) AS mention, min(name) AS name FROM (SELECT name, unnest([title_1, title_2, title_3]) AS title FROM titled) WHERE title IS NOT NULL GROUP BY 1),
+spoken AS (SELECT name AS own, lower(coalesce(title_1, '')) AS a, lower(coalesce(title_2, '')) AS b, lower(coalesce(title_3, '')) AS c,
+  unnest(regexp_extract_all(lower(text), """
+    + _PICK.format("mention", "titles")
+    + r""")) AS mention FROM titled WHERE text IS NOT NULL AND coalesce(title_1, title_2, title_3) IS NOT NULL),
+tvec AS (SELECT name, unnest(range(0, len(embedding))) AS pos, unnest(embedding) AS x FROM topics JOIN vec_docs ON place = vec_id)
+"""
+)
+
+
+def _topic_vectors(others: bool) -> str:
+    own = "WHERE mention NOT IN (a, b, c)" if others else ""
+    return (
+        TEXT_SCORES
+        + f""", said AS (SELECT own, titles.name, count(*) AS n FROM (SELECT * FROM spoken {own}) JOIN titles USING (mention) GROUP BY ALL),
+total AS (SELECT own, pos, sum(n * x) AS x FROM said JOIN tvec USING (name) GROUP BY ALL),
+unit AS (SELECT own, pos, CASE WHEN n = 0 THEN 0 ELSE x / n END AS x FROM total JOIN (SELECT own, sqrt(sum(x * x)) AS n FROM total GROUP BY own) USING (own))
+SELECT t.name, coalesce(title_1, title_2, title_3) AS title, CAST(p.pos AS INTEGER) AS pos, round(coalesce(unit.x, 0) + 1e-9, 4) AS value
+FROM titled t CROSS JOIN (SELECT unnest(range(0, 64)) AS pos) p LEFT JOIN unit ON unit.own = t.name AND unit.pos = p.pos"""
+    )
+
+
 _URLS = "urls AS (SELECT url FROM pages UNION ALL SELECT unnest([" + ", ".join(f"'{u}'" for u in URLS) + "]))"
 PARSED = (
     "WITH "
@@ -145,10 +215,10 @@ _REFS = """refs AS (
 def _id_join(kind: str) -> str:
     key = {"doi": "'10.1000/' || c_custkey", "pmc": f"'PMC' || substr('{PMC_PREFIX}' || c_custkey, 43)", "pmid": f"substr('{PMID_PREFIX}' || c_custkey, 33)", "s2": "'' || c_custkey"}[kind]
     return f"""WITH {_REFS},
-works AS (SELECT 'c' || c_custkey AS orig_id, {key} AS id_value FROM customer WHERE c_custkey % 3 <> 0),
+works AS (SELECT 'c' || c_custkey AS orig_id, {key} AS id_value FROM customer WHERE c_acctbal > 0),
 srcs AS (SELECT 'c' || c_custkey AS orig_id, 'm' || (c_custkey // 2) AS merged_id FROM customer),
-papers AS (SELECT 'm' || (c_custkey // 2) AS merged_id, CASE WHEN c_custkey % 4 <> 0 THEN c_name END AS title,
-           CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS abstract FROM customer WHERE c_custkey % 2 = 0)
+papers AS (SELECT 'm' || (c_custkey // 2) AS merged_id, min(c_name) AS title, min(CASE WHEN c_acctbal > 1000 THEN c_mktsegment END) AS abstract
+           FROM customer GROUP BY c_custkey // 2)
 SELECT DISTINCT refs.id, merged_id, coalesce(title, '') || ' ' || coalesce(abstract, '') AS text
 FROM refs JOIN works USING (id_value) JOIN srcs USING (orig_id) JOIN papers USING (merged_id) WHERE id_type = '{kind}'"""
 
@@ -231,6 +301,8 @@ AND merged_id IN (SELECT merged_id FROM corpus WHERE CAST(substr(merged_id, 2) A
         + r"""SELECT count(DISTINCT name) = count(name) AS names_unique,
   count(DISTINCT regexp_replace(lower(name), '\s', '', 'g')) = count(name) AS names_unique_folded,
   bool_and(coalesce(name = trim(name), false)) AS names_trimmed, bool_and(coalesce(name <> '', false)) AS names_filled,
+  bool_and(name = array_to_string(list_transform(string_split(name, ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')) AS names_cased,
+  (SELECT bool_and(coalesce(parent_name <> '', false) AND coalesce(child_name <> '', false)) FROM children) AS ends_named,
   (SELECT bool_and(n = 1) FROM (SELECT count(*) AS n FROM children GROUP BY parent_name, child_name)) AS edges_unique,
   (SELECT count(*) = 0 FROM (SELECT parent_name AS k FROM children UNION SELECT child_name FROM children) WHERE k NOT IN (SELECT name FROM meta_fields)) AS ends_known,
   (SELECT count(*) = 0 FROM meta_fields WHERE name NOT IN (SELECT parent_name FROM children UNION SELECT child_name FROM children)) AS nodes_used,
@@ -292,6 +364,49 @@ u AS (SELECT term, pos, x / n AS x FROM l JOIN (SELECT term, sqrt(sum(x * x)) AS
 s AS (SELECT merged_id, pos, sum(tf * x) AS x FROM counts JOIN u USING (term) GROUP BY ALL)
 SELECT merged_id, CAST(pos AS INTEGER) AS pos, round(x / n + 1e-9, 4) AS value FROM s JOIN (SELECT merged_id, sqrt(sum(x * x)) AS n FROM s GROUP BY merged_id) USING (merged_id)""",
         "py_preprocess": "SELECT doc_id, " + MODEL_CLEAN.format("text") + " AS text FROM documents",
+        "constrained_scorer": TEXT_SCORES
+        + """SELECT id AS merged_id, level, name, round(score + 1e-9, 4) AS score, r AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, level ORDER BY score DESC, name) AS r FROM scored) WHERE r <= 10 AND score <> 0""",
+        "score_variants": TEXT_SCORES
+        + """SELECT id AS merged_id, name, round(score + 1e-9, 3) AS score, round(dense + 1e-9, 3) AS dense, round(sparse + 1e-9, 3) AS sparse, round(entity + 1e-9, 3) AS entity
+FROM avg3 WHERE level <= 1""",
+        "field_keys": TEXT_SCORES + "SELECT index, name, level FROM fields",
+        "title_lookup": TEXT_SCORES + "SELECT mention, name FROM titles",
+        "topic_entity_vectors": _topic_vectors(False),
+        "topic_entity_vectors_of_others": _topic_vectors(True),
+        "model_text": ROLES + "SELECT id, " + MODEL_CLEAN.format("coalesce(title, '') || ' ' || coalesce(abstract, '')") + " AS text FROM doc_meta",
+        "labelled_texts": ROLES
+        + "SELECT id, "
+        + CLEAN.format("CASE WHEN title IS NULL THEN abstract WHEN abstract IS NULL THEN title ELSE title || '. ' || abstract END")
+        + " AS text FROM doc_meta",
+        "label_lists": "SELECT doc_id, unnest([lang, source]) AS label FROM documents",
+        "citation_numbers": "SELECT doc_id, CAST(doc_id % 40 AS INTEGER) AS number FROM documents",
+        "joined_pages": "SELECT p_partkey, ' ' || p_name || CASE WHEN p_size % 2 = 0 THEN ' ' || p_brand ELSE '' END || ' ' || p_type AS text FROM part",
+        "case_field_name": r"""SELECT p_partkey, 'The ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')
+  || ' of GPU-Based and eWLB (Text-to-Speech)' AS name FROM part""",
+        "html_to_text": r"""WITH parts AS (SELECT page_id, list_transform(string_split(html, '<p>')[2:], lambda x: regexp_replace(split_part(split_part(x, '</p>', 1), '</article>', 1), '<[^>]*>', '', 'g')) AS p FROM pages),
+plain AS (SELECT page_id, replace(replace(replace(replace(array_to_string(p, chr(10)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FROM parts)
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\[\d+]', '', 'g'),
+  '(?i)\[(quantify|which\?|according to whom\?|citation needed|verification needed|)]|This section needs additional citations for verification|Please help improve this article by adding citations to reliable sources in this section|Unsourced material may be challenged and removed|Find sources|Learn how and when to remove this template message', '', 'g') AS text FROM plain""",
+        "reference_urls": """SELECT DISTINCT page_id, url FROM (SELECT page_id, replace(replace(unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)), '&quot;', '"'), '&amp;', '&') AS url FROM pages)
+WHERE NOT starts_with(url, './')""",
+        "reference_table": r"""SELECT DISTINCT page_id AS field, url, '' AS domain, CAST(NULL AS VARCHAR) AS id_type, CAST(NULL AS VARCHAR) AS id_value
+FROM (SELECT page_id, replace(replace(unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)), '&quot;', '"'), '&amp;', '&') AS url FROM pages)""",
+        "wiki_section_text": """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Lead of ' || page_id WHEN 1 THEN 'Lead of ' || page_id || chr(10) || 'cites and'
+  ELSE 'Firstcites and' END AS text,
+  CASE page_id % 4 WHEN 0 THEN '2' WHEN 1 THEN '' ELSE (page_id % 3) || ',7' END AS notes FROM pages""",
+        "wiki_section_urls": """SELECT page_id, 'http://n' || unnest(CASE page_id % 4 WHEN 0 THEN [2] WHEN 1 THEN [0, 1, 2, 7] ELSE [page_id % 3, 7] END) || '.example/' || page_id AS url FROM pages""",
+        "sampling_frame": CORPUS
+        + """, frame AS (SELECT merged_id, CAST(year(o_orderdate) AS INTEGER) AS year FROM (SELECT merged_id FROM corpus UNION ALL SELECT merged_id FROM before)
+  JOIN orders ON merged_id = 'p' || o_orderkey WHERE year(o_orderdate) BETWEEN 1990 AND 2030)
+SELECT merged_id, year, row_number() OVER (PARTITION BY year ORDER BY md5(merged_id), merged_id) AS number FROM frame""",
+        "labelled_sample": PIPE
+        + """, own AS (SELECT f.merged_id, f.name, m.level, f.score FROM final_long f JOIN meta_fields m USING (name) WHERE NOT is_imputed AND level <= 1
+  AND CAST(substr(merged_id, 2) AS HUGEINT) * 2654435761 % 4294967296 % 10 < 1),
+texts AS (SELECT 'd' || o_orderkey AS merged_id, o_orderpriority AS title, CASE WHEN o_totalprice > 100000 THEN 'dear' END AS abstract
+  FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderstatus <> 'P')
+SELECT merged_id, title, abstract, string_agg(name, '|' ORDER BY level, name) AS names, count(*) AS n FROM own LEFT JOIN texts USING (merged_id) GROUP BY ALL""",
+        "embeddings_jsonl_roundtrip": ROLES + "SELECT vec_id, label, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS pos, unnest(embedding) AS value FROM vec_docs",
         "clean_field_name": r"SELECT p_partkey, trim(regexp_replace(regexp_replace('  ' || replace(p_name, ' ', ' ' || chr(9) || ' ') || '–to—x ', '[–—]', '-', 'g'), '\s+', ' ', 'g')) AS name FROM part",
         "wiki_bracket_clean": r"""SELECT page_id, regexp_replace(regexp_replace(url || '[12] scales.[Citation needed] Whereas [28][29] find sources []', '\[\d+]', '', 'g'),
   '(?i)\[(quantify|which\?|according to whom\?|citation needed|verification needed|)]|This section needs additional citations for verification|Please help improve this article by adding citations to reliable sources in this section|Unsourced material may be challenged and removed|Find sources|Learn how and when to remove this template message', '', 'g') AS text FROM pages""",
@@ -308,7 +423,7 @@ SELECT url, id_type, CASE WHEN id_type IS NULL THEN NULL WHEN id_type = 's2' THE
   WHEN id_type <> 'doi' THEN name WHEN host = 'jstor.org' AND parents LIKE '%/%' THEN regexp_extract(parents, '([^/]*)$', 1) || '/' || tail
   WHEN host = 'jstor.org' THEN '10.2307/' || tail WHEN host IN ('citeseerx.ist.psu.edu', 'aeaweb.org') THEN url_decode(doi) ELSE url_decode(path) END AS id_value FROM kinds""",
         "match_flag_counts": f"""WITH {_REFS} SELECT k.id_value IS NOT NULL AS matched, count(*) AS n FROM (SELECT * FROM refs WHERE id_type = 'doi') r
-  LEFT JOIN (SELECT '10.1000/' || c_custkey AS id_value FROM customer WHERE c_custkey % 3 <> 0) k ON r.id_value = k.id_value GROUP BY 1""",
+  LEFT JOIN (SELECT '10.1000/' || c_custkey AS id_value FROM customer WHERE c_acctbal > 0) k ON r.id_value = k.id_value GROUP BY 1""",
         "coverage_counts": f"WITH {_REFS} SELECT count(DISTINCT id) AS n_keys, count(DISTINCT CASE WHEN length(id_value) > 0 THEN id END) AS n_covered FROM refs",
         "level_shares": PIPE
         + """SELECT 'top_l0' AS level, top_l0 AS name, count(*) AS n, round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct FROM tops WHERE top_l0 IS NOT NULL GROUP BY top_l0
@@ -325,7 +440,7 @@ SELECT *, round(n / total, 4) AS prop FROM t WHERE total >= 100""",
 SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) <= 5""",
         "kth_best_field": PIPE + "SELECT merged_id, name, score FROM scores_long QUALIFY row_number() OVER (PARTITION BY merged_id ORDER BY score DESC, name) = 2",
         "best_field_per_level": PIPE + "SELECT * FROM best",
-        "stratified_sample": "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS HUGEINT) * 2654435761 % 4294967296, doc_id) <= 20",
+        "stratified_sample": "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS HUGEINT) * 2654435761 % 4294967296, doc_id) <= 1000",
         "hash_sample": "SELECT doc_id FROM documents WHERE CAST(doc_id AS HUGEINT) * 2654435761 % 4294967296 % 100 < 10",
         "confusion_counts": """WITH r AS (SELECT lang, quality = 1 AS a, n_chars > 500 AS p FROM documents JOIN labels USING (doc_id)),
 c AS (SELECT lang, count_if(a AND p) AS tp, count_if(NOT a AND p) AS fp, count_if(a AND NOT p) AS fn, count_if(NOT a AND NOT p) AS tn FROM r GROUP BY lang)

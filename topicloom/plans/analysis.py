@@ -72,14 +72,31 @@ def hash_sample(df: DataFrame, key: Column, modulus: int, below: int = 1) -> Dat
 
 
 def sampling_frame(corpus: DataFrame, before: DataFrame, years: DataFrame, first: int = 2010, last: int = 2021) -> DataFrame:
-    """(merged_id, year, id_hash): documents of both corpora by year, numbered within the year and hashed.
+    """(merged_id, year, number, id_hash): documents of both corpora by year, numbered within the year and hashed.
 
-    Numbers follow merged_id, so unlike an unordered numbering they can be repeated.
+    Numbers follow the digest of merged_id, so unlike an unordered numbering they can be repeated. A year is numbered
+    slice by slice of the digest, each slice after the rows of the earlier ones, so no task sees all of a year.
     """
     ids = corpus.select("merged_id").unionAll(before.select("merged_id"))
-    rows = years.join(ids, "merged_id").where(F.col("year").between(first, last))
-    number = F.row_number().over(Window.partitionBy("year").orderBy("merged_id"))
-    return rows.select("merged_id", "year", F.xxhash64(number.cast("string")).alias("id_hash"))
+    rows = years.join(ids, "merged_id").where(F.col("year").between(first, last)).select("merged_id", "year")
+    rows = rows.withColumn("_h", F.md5(F.col("merged_id").cast("binary"))).withColumn("_s", F.substring("_h", 1, 3))
+    earlier = Window.partitionBy("year").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy("year", "_s").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy("year", "_s").orderBy("_h", "merged_id"))
+    numbered = rows.join(slices, ["year", "_s"]).withColumn("number", F.col("_before") + own)
+    return numbered.select("merged_id", "year", "number", F.xxhash64(F.col("number").cast("string")).alias("id_hash"))
+
+
+def labelled_sample(sample: DataFrame, scores: DataFrame, meta: DataFrame, texts: DataFrame, top_level: int = 1) -> DataFrame:
+    """(merged_id, title, abstract, fields): observed scores of the sampled documents for topics down to `top_level`, with
+    names and texts where they are known; a document without text stays, and documents aren't merged by their texts.
+
+    `scores` is (merged_id, name, score, is_imputed), `texts` (merged_id, title, abstract).
+    """
+    upper = meta.where(F.col("level") <= top_level).select("name", "level")
+    own = scores.where(~F.col("is_imputed")).join(sample.select("merged_id"), "merged_id", "left_semi").join(upper, "name")
+    rows = own.groupBy("merged_id").agg(F.array_sort(F.collect_list(F.struct("level", "name", "score"))).alias("fields"))
+    return rows.join(texts, "merged_id", "left").select("merged_id", "title", "abstract", "fields")
 
 
 def confusion(df: DataFrame, key: str, actual: str, predicted: str) -> DataFrame:

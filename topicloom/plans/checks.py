@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topicloom.functions.text import format_name
+
 
 def _none(df: DataFrame, name: str = "ok") -> DataFrame:
     return df.agg((F.count(F.lit(1)) == 0).alias(name))
@@ -74,7 +76,10 @@ def taxonomy(meta: DataFrame, children: DataFrame) -> DataFrame:
         (F.count_distinct(folded) == F.count("name")).alias("names_unique_folded"),
         F.bool_and(F.coalesce(F.col("name") == F.trim("name"), F.lit(False))).alias("names_trimmed"),
         F.bool_and(F.coalesce(F.col("name") != "", F.lit(False))).alias("names_filled"),
+        F.bool_and(F.coalesce(format_name(F.col("name")) == F.col("name"), F.lit(False))).alias("names_cased"),
     )
+    filled = [F.coalesce(F.col(c) != "", F.lit(False)) for c in ("parent_name", "child_name")]
+    named = children.agg(F.bool_and(filled[0] & filled[1]).alias("ends_named"))
     edges = children.groupBy("parent_name", "child_name").count().agg(F.bool_and(F.col("count") == 1).alias("edges_unique"))
     ends = children.select(F.col("parent_name").alias("name")).union(children.select("child_name")).distinct()
     known = ends.join(meta, "name", "left_anti").agg((F.count(F.lit(1)) == 0).alias("ends_known"))
@@ -83,7 +88,7 @@ def taxonomy(meta: DataFrame, children: DataFrame) -> DataFrame:
     mixed = children.join(level, "parent_name").groupBy("child_name").agg(F.count_distinct("level").alias("n"))
     even = mixed.agg(F.bool_and(F.col("n") == 1).alias("parents_level"))
     out = one
-    for part in (edges, known, used, even):
+    for part in (edges, named, known, used, even):
         (name,) = part.columns
         out = out.withColumn(name, part.scalar())
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicloom.functions import html as H
 from topicloom.functions import ids, match, text, vectors
 from topicloom.operators import scoring, taxonomy
-from topicloom.plans import analysis, checks, pipeline
+from topicloom.plans import analysis, checks, pipeline, score
 from topicloom.plans.pipeline import round4
 from topicloom.sources import tables
 from topicloom.sources.roles import Roles
@@ -49,6 +49,14 @@ def _corpus(r: Roles) -> DataFrame:
     return pipeline.corpus(r.doc_meta(), r.doc_sources())
 
 
+def _kept_corpus(r: Roles) -> DataFrame:
+    return r.keep("corpus", lambda: _corpus(r))
+
+
+def _counts(r: Roles) -> DataFrame:
+    return r.keep("corpus-counts", lambda: scoring.term_counts(_corpus(r), "merged_id", "text"))
+
+
 def _number(c="merged_id"):
     return F.substr(F.col(c), F.lit(2)).cast("long")
 
@@ -273,22 +281,21 @@ def tokenize_counts(spark, sf_dir):
 @query
 def tokenize_counts_vocabulary(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    counts = scoring.term_counts(_corpus(r), "merged_id", "text")
-    vocabulary = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df >= 5")
-    return scoring.term_counts(_corpus(r), "merged_id", "text", vocabulary)
+    vocabulary = _counts(r).groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df >= 5")
+    return _counts(r).join(vocabulary.select("term"), "term", "left_semi")
 
 
 @query
 def tfidf_vectors(spark, sf_dir):
-    counts = scoring.term_counts(_corpus(Roles(spark, sf_dir)), "merged_id", "text")
-    return scoring.tfidf(counts, "merged_id").select("merged_id", "term", round4("weight").alias("weight"))
+    return scoring.tfidf(_counts(Roles(spark, sf_dir)), "merged_id").select("merged_id", "term", round4("weight").alias("weight"))
 
 
 @query
 def sparse_cosine(spark, sf_dir):
-    counts = _doc_counts(Roles(spark, sf_dir))
+    r = Roles(spark, sf_dir)
+    counts = r.keep("doc-counts", lambda: _doc_counts(r))
     docs = scoring.tfidf(counts.select("doc_id", "term", "tf"), "doc_id")
-    fields = scoring.tfidf(counts.groupBy("source", "term").agg(F.sum("tf").alias("tf")), "source")
+    fields = r.keep("field-weights", lambda: scoring.tfidf(r.keep("field-counts", lambda: counts.groupBy("source", "term").agg(F.sum("tf").alias("tf"))), "source"))
     return scoring.sparse_cosine(docs, fields, "doc_id", "source").withColumn("similarity", round4("similarity"))
 
 
@@ -351,7 +358,7 @@ def rank_top10_per_level(spark, sf_dir):
 @query
 def constrained_scores(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    out = scoring.constrained_scores(r.scores_long(), r.meta_fields(), r.children())
+    out = scoring.constrained_scores(r.keep("scores_long", r.scores_long), r.meta_fields(), r.children())
     return out.withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -361,16 +368,21 @@ def vector_group_sum(spark, sf_dir):
     return out.select("label", F.posexplode("embedding").alias("pos", "value")).withColumn("value", round4("value"))
 
 
-def _dictionary(r: Roles, n: int = 200) -> DataFrame:
-    """(mention, i): the most frequent tokens of more than three letters; a dictionary of fixed size."""
-    counts = scoring.term_counts(_corpus(r), "merged_id", "text").where(F.char_length("term") > 3)
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "term").limit(n)
-    return totals.select(F.col("term").alias("mention"), "n")
+def _dictionary(r: Roles) -> list[str]:
+    """Tokens of more than three letters that one document in twenty or more has, in order of letters."""
+    n = _counts(r).agg(F.count_distinct("merged_id").alias("n")).scalar()
+    df = _counts(r).where(F.char_length("term") > 3).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return sorted(row.term for row in df.where(F.col("df") * 20 >= n).collect())
+
+
+def _vectors(r: Roles, terms: list[str], key: str) -> DataFrame:
+    """(key, vector): the vector numbered as the term is, for as many as there are."""
+    names = r.spark.createDataFrame(list(enumerate(terms)), f"vec_id long, {key} string")
+    return names.join(r.vec_docs(), "vec_id").select(key, F.col("embedding").alias("vector"))
 
 
 def _mentions(r: Roles) -> DataFrame:
-    terms = [row.mention for row in _dictionary(r).collect()]
-    found = _corpus(r).select("merged_id", match.find_terms(F.col("text"), terms).alias("found"))
+    found = _corpus(r).select("merged_id", match.find_terms(F.col("text"), _dictionary(r)).alias("found"))
     return analysis.mention_counts(found, "merged_id", "found")
 
 
@@ -382,24 +394,118 @@ def entity_mentions(spark, sf_dir):
 @query
 def entity_vectors(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    terms = sorted(row.mention for row in _dictionary(r).collect())
-    names = spark.createDataFrame(list(enumerate(terms)), "vec_id long, mention string")
-    known = names.join(r.vec_docs(), "vec_id").select("mention", F.col("embedding").alias("vector"))
-    out = analysis.entity_vectors(_mentions(r), known, "merged_id")
+    out = analysis.entity_vectors(_mentions(r), _vectors(r, _dictionary(r), "mention"), "merged_id")
     return out.select("merged_id", F.posexplode("vector").alias("pos", "value")).withColumn("value", round4("value"))
 
 
 @query
 def sentence_vectors(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    terms = sorted(row.mention for row in _dictionary(r).collect())
-    names = spark.createDataFrame(list(enumerate(terms)), "vec_id long, term string")
-    known = names.join(r.vec_docs(), "vec_id").select("term", F.col("embedding").alias("vector"))
-    words = scoring.term_counts(_corpus(r), "merged_id", "text")
-    out = analysis.sentence_vectors(words, known, "merged_id")
+    out = analysis.sentence_vectors(_counts(r), _vectors(r, _dictionary(r), "term"), "merged_id")
     return out.select("merged_id", F.posexplode("vector").alias("pos", "value")).withColumn("value", round4("value"))
 
 
+# From texts to scores
+
+
+def _sources(r: Roles) -> DataFrame:
+    """(place, source): the sources of documents in order of letters."""
+    names = sorted(row.source for row in r.table("documents").select("source").distinct().where("source is not null").collect())
+    return r.spark.createDataFrame(list(enumerate(names)), "place int, source string")
+
+
+def _topics(r: Roles) -> DataFrame:
+    """(place, name, level): sources stand for topics, the first three at level 0, five at level 1, six at 2, the rest at 3."""
+    place = F.col("place")
+    level = F.when(place < 3, 0).when(place < 8, 1).when(place < 14, 2).otherwise(3)
+    return _sources(r).select("place", text.format_name(F.col("source")).alias("name"), level.alias("level"))
+
+
+def _topic_children(r: Roles) -> DataFrame:
+    up = F.when(F.col("place") < 8, (F.col("place") - 3) % 3).otherwise((F.col("place") - 8) % 5 + 3)
+    low = _topics(r).where("place >= 3").select(up.cast("int").alias("place"), F.col("name").alias("child_name"))
+    return low.join(_topics(r).select("place", F.col("name").alias("parent_name")), "place").select("parent_name", "child_name")
+
+
+def _topic_pages(r: Roles) -> DataFrame:
+    """(display_name, text): of each source its first English document, cleaned."""
+    docs = r.table("documents").where("lang = 'en'").select("source", "doc_id", text.clean_corpus_text(F.col("text")).alias("text"))
+    return docs.groupBy(F.col("source").alias("display_name")).agg(F.min_by("text", "doc_id").alias("text"))
+
+
+def _models(r: Roles) -> score.Models:
+    terms, counts = _dictionary(r), _counts(r)
+    df = r.keep("frequency", lambda: counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return score.Models(_vectors(r, terms, "term"), _vectors(r, terms, "mention"), terms, df, counts.agg(F.count_distinct("merged_id").alias("n")).scalar())
+
+
+def _fields(r: Roles) -> DataFrame:
+    return r.keep("fields", lambda: score.field_texts(_topic_pages(r), _topics(r)))
+
+
+def _texts(r: Roles) -> DataFrame:
+    return _kept_corpus(r).select(F.col("merged_id").alias("id"), "text")
+
+
+@query
+def constrained_scorer(spark, sf_dir):
+    r = Roles(spark, sf_dir)
+    out = score.score_corpus(_texts(r), _fields(r), _topic_children(r), _models(r), r.keep)
+    return out.select(F.col("id").alias("merged_id"), "level", "name", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def score_variants(spark, sf_dir):
+    r = Roles(spark, sf_dir)
+    docs = score.embed(_texts(r), _models(r), "docs", r.keep)
+    fields = score.embed(_fields(r).select(F.col("name").alias("id"), "text"), _models(r), "topics", r.keep)
+    pairs = score._pairs_with(_texts(r), _fields(r).where("level <= 1"))
+    out = score.score_output(score.averaged(score.similarities(pairs, docs, fields)), ("dense", "sparse", "entity"), precision=3)
+    one = out.select("merged_id", F.explode("fields").alias("name", "score"), "dense", "sparse", "entity")
+    return one.select("merged_id", "name", "score", *[F.element_at(p, F.col("name")).alias(p) for p in ("dense", "sparse", "entity")])
+
+
+@query
+def field_keys(spark, sf_dir):
+    return _fields(Roles(spark, sf_dir)).select("index", "name", "level")
+
+
+def _titled_pages(r: Roles) -> DataFrame:
+    """Pages with up to three titles: terms of the dictionary by place, every seventh page without the first."""
+    terms = r.spark.createDataFrame(list(enumerate(_dictionary(r))), "at int, term string")
+    pages = _sources(r).join(_topic_pages(r).withColumnRenamed("display_name", "source"), "source", "left")
+    for i, shift in ((1, 0), (2, 20), (3, 40)):
+        own = terms.select((F.col("at") - shift).alias("place"), F.initcap("term").alias(f"title_{i}"))
+        pages = pages.join(own, "place", "left")
+    first = F.when(F.col("place") % 7 != 6, F.col("title_1"))
+    third = F.when(F.col("place") % 2 == 0, F.col("title_3"))
+    return pages.select(F.col("source").alias("display_name"), "text", first.alias("title_1"), "title_2", third.alias("title_3"), "place")
+
+
+TITLES = ["title_1", "title_2", "title_3"]
+
+
+@query
+def title_lookup(spark, sf_dir):
+    return score.titles_to_topics(_titled_pages(Roles(spark, sf_dir)), TITLES)
+
+
+def _topic_vectors(r: Roles, exclude_self: bool) -> DataFrame:
+    vectors = _topics(r).join(r.vec_docs(), F.col("place") == F.col("vec_id")).select("name", F.col("embedding").alias("vector"))
+    out = score.topic_entity_vectors(r.keep("titled-pages", lambda: _titled_pages(r)), TITLES, vectors, exclude_self)
+    return out.select("name", "title", F.posexplode("vector").alias("pos", "value")).withColumn("value", round4("value"))
+
+
+@query
+def topic_entity_vectors(spark, sf_dir):
+    return _topic_vectors(Roles(spark, sf_dir), False)
+
+
+@query
+def topic_entity_vectors_of_others(spark, sf_dir):
+    return _topic_vectors(Roles(spark, sf_dir), True)
+
+
 # Text, identifiers, pages
 
 
@@ -408,6 +514,39 @@ def py_preprocess(spark, sf_dir):
     return Roles(spark, sf_dir).table("documents").select("doc_id", text.preprocess(F.col("text")).alias("text"))
 
 
+@query
+def model_text(spark, sf_dir):
+    """Title and abstract as the model reads them."""
+    meta = Roles(spark, sf_dir).doc_meta()
+    return meta.select("id", text.preprocess(text.concat_parts(F.col("title"), F.col("abstract"))).alias("text"))
+
+
+@query
+def labelled_texts(spark, sf_dir):
+    meta = Roles(spark, sf_dir).doc_meta()
+    return meta.select("id", text.labelled_text(F.col("title"), F.col("abstract")).alias("text"))
+
+
+@query
+def label_lists(spark, sf_dir):
+    printed = F.concat(F.lit("['"), F.col("lang"), F.lit("', '"), F.col("source"), F.lit("']"))
+    return Roles(spark, sf_dir).table("documents").select("doc_id", F.explode(text.label_list(printed)).alias("label"))
+
+
+@query
+def citation_numbers(spark, sf_dir):
+    docs = Roles(spark, sf_dir).table("documents")
+    brackets = F.array(F.concat(F.lit("["), F.col("doc_id") % 40, F.lit("]")), F.concat(F.lit("["), F.col("lang"), F.lit("]")))
+    return docs.select("doc_id", F.explode(text.bracket_numbers(brackets)).alias("number"))
+
+
+@query
+def joined_pages(spark, sf_dir):
+    part = Roles(spark, sf_dir).table("part")
+    pages = F.array("p_name", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")), "p_type")
+    return part.select("p_partkey", text.join_pages(pages).alias("text"))
+
+
 @query
 def clean_field_name(spark, sf_dir):
     odd = F.concat(F.lit("  "), F.replace(F.col("p_name"), F.lit(" "), F.lit(" \t ")), F.lit("–to—x "))
@@ -438,6 +577,36 @@ def reference_urls(spark, sf_dir):
     return urls.select("page_id", F.explode("urls").alias("url"))
 
 
+def _wiki_pages(r: Roles) -> DataFrame:
+    """Two sections, of which the first cites notes page_id % 3 and 7, and a list of notes with one link each."""
+    head = F.col("page_id").cast("string")
+    body = F.concat(
+        F.lit('<section data-mw-section-id="0"><p>Lead of '), head, F.lit('[2]</p></section><section><h2 id="First">First</h2><p>cites['),
+        (F.col("page_id") % 3).cast("string"), F.lit("] and[7]</p><style>s</style></section><ol>"),
+    )
+    notes = [
+        F.concat(F.lit(f'<li id="cite_note-{i}"><span class="reference-text"><a href="http://n{i}.example/'), head, F.lit('">x</a><a href="./in">y</a></span></li>'))
+        for i in (0, 1, 2, 7)
+    ]
+    section = F.when(F.col("page_id") % 4 == 0, "(Top)").when(F.col("page_id") % 4 == 1, "Missing").otherwise("First")
+    return r.table("pages").select("page_id", section.alias("section"), F.concat(body, *notes, F.lit("</ol>")).alias("html"))
+
+
+@query
+def wiki_section_text(spark, sf_dir):
+    pages = _wiki_pages(Roles(spark, sf_dir))
+    found = pages.select("page_id", H.html_section(F.col("html"), F.col("section")).alias("s"))
+    return found.select("page_id", "s.text", F.array_join(F.col("s.notes").cast("array<string>"), ",").alias("notes"))
+
+
+@query
+def wiki_section_urls(spark, sf_dir):
+    """Links of the notes that the section cites; of a page without notes in its section all."""
+    pages = _wiki_pages(Roles(spark, sf_dir))
+    cited = pages.select("page_id", "html", H.html_section(F.col("html"), F.col("section"))["notes"].alias("notes"))
+    return cited.select("page_id", F.explode(H.html_reference_urls(F.col("html"), F.col("notes"))).alias("url"))
+
+
 def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame([(u,) for u in URLS], "url string")
     return Roles(spark, sf_dir).table("pages").select("url").unionByName(known)
@@ -479,7 +648,7 @@ def _refs(r: Roles) -> DataFrame:
 def _id_join(r: Roles, kind: str) -> DataFrame:
     customer = r.table("customer")
     key = F.col("c_custkey").cast("string")
-    works = customer.where(F.col("c_custkey") % 3 != 0).select(
+    works = customer.where("c_acctbal > 0").select(
         F.concat(F.lit("c"), key).alias("orig_id"),
         F.concat(F.lit("10.1000/"), key).alias("doi"),
         F.concat(F.lit(PMC_PREFIX), key).alias("pmcid"),
@@ -488,9 +657,7 @@ def _id_join(r: Roles, kind: str) -> DataFrame:
     )
     merged = F.concat(F.lit("m"), F.floor(F.col("c_custkey") / 2))
     sources = customer.select(F.concat(F.lit("c"), key).alias("orig_id"), merged.alias("merged_id"))
-    papers = customer.where(F.col("c_custkey") % 2 == 0).select(
-        merged.alias("merged_id"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_name")).alias("title"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("abstract")
-    )
+    papers = customer.groupBy(merged.alias("merged_id")).agg(F.min("c_name").alias("title"), F.min(F.when(F.col("c_acctbal") > 1000, F.col("c_mktsegment"))).alias("abstract"))
     keys = {"doi": F.col("doi"), "pmc": ids.pmc_key(F.col("pmcid")), "pmid": ids.pmid_key(F.col("pmid")), "s2": F.col("corpusid").cast("string")}
     return analysis.identifier_join(_refs(r), kind, works, keys[kind], sources, papers)
 
@@ -507,7 +674,7 @@ for _kind in ("doi", "pmc", "pmid", "s2"):
 @query
 def match_flag_counts(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    known = r.table("customer").where("c_custkey % 3 <> 0").select(F.concat(F.lit("10.1000/"), "c_custkey").alias("doi"))
+    known = r.table("customer").where("c_acctbal > 0").select(F.concat(F.lit("10.1000/"), "c_custkey").alias("doi"))
     return analysis.match_flags(_refs(r).where("id_type = 'doi'"), known, "doi")
 
 
@@ -565,7 +732,7 @@ def best_field_per_level(spark, sf_dir):
 
 @query
 def stratified_sample(spark, sf_dir):
-    return analysis.stratified_sample(Roles(spark, sf_dir).table("documents"), "source", "doc_id", 20).select("source", "doc_id")
+    return analysis.stratified_sample(Roles(spark, sf_dir).table("documents"), "source", "doc_id").select("source", "doc_id")
 
 
 @query
@@ -578,7 +745,17 @@ def hash_sample(spark, sf_dir):
 def sampling_frame(spark, sf_dir):
     r = Roles(spark, sf_dir)
     years = r.table("orders").select(F.concat(F.lit("p"), "o_orderkey").alias("merged_id"), F.year("o_orderdate").alias("year"))
-    return analysis.sampling_frame(_corpus(r), _before(r), years, 1990, 2030)
+    return analysis.sampling_frame(_corpus(r), _before(r), years, 1990, 2030).drop("id_hash")
+
+
+@query
+def labelled_sample(spark, sf_dir):
+    r = Roles(spark, sf_dir)
+    sample = analysis.hash_sample(_field_long(r).select("merged_id").distinct(), analysis.portable_hash(_number()), 10)
+    texts = r.order_meta().where("lang = 'en'").join(r.table("orders"), "o_orderkey")
+    texts = texts.where("o_orderstatus <> 'P'").select("merged_id", F.col("o_orderpriority").alias("title"), F.when(F.col("o_totalprice") > 100_000, "dear").alias("abstract"))
+    out = analysis.labelled_sample(sample, _field_long(r), r.meta_fields(), texts)
+    return out.select("merged_id", "title", "abstract", F.array_join(F.transform("fields", lambda f: f["name"]), "|").alias("names"), F.size("fields").cast("long").alias("n"))
 
 
 @query
@@ -610,6 +787,15 @@ def scores_jsonl_roundtrip(spark, sf_dir):
     return pipeline.unnest(tables.read_scores(spark, path), "merged_id")
 
 
+@query
+def embeddings_jsonl_roundtrip(spark, sf_dir):
+    r = Roles(spark, sf_dir)
+    path = tables.scratch_path(spark)
+    tables.write_embeddings(r.vec_docs(), path, ["embedding"])
+    out = tables.read_embeddings(spark, path, r.vec_docs().schema)
+    return out.select("vec_id", "label", F.posexplode("embedding").alias("pos", "value"))
+
+
 @query
 def clustered_write(spark, sf_dir):
     r = Roles(spark, sf_dir)

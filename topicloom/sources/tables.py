@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from topicloom.session import shared_folder
+
 CORPUS = T.StructType([T.StructField("merged_id", T.StringType(), False), T.StructField("text", T.StringType(), False)])
 SCORES = T.StructType(
     [
@@ -21,9 +22,8 @@ SCORES = T.StructType(
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the folder all executors share (spark.checkpoint.dir), or in a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="topicloom-")
-    return f"{base.rstrip('/')}/topicloom/{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark)}/topicloom/{uuid.uuid4().hex}"
 
 
 def read_extract(spark: SparkSession, folder: str, prefix: str, schema: T.StructType = CORPUS) -> DataFrame:
@@ -40,6 +40,55 @@ def write_extract(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def download(spark: SparkSession, df: DataFrame, folder: str, prefix: str, clobber: bool = False) -> int:
+    """A table or a query's result as `prefix` and a number, sharded gzip JSON lines in `folder`; the number of shards.
+
+    An empty prefix would match every file there and is refused, and so are shards that are there already, unless
+    `clobber` clears them first.
+    """
+    if not prefix:
+        raise ValueError("a prefix is needed")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    home = jvm.Path(folder)
+    fs = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(home)
+    own = [f.getPath() for f in fs.globStatus(jvm.Path(f"{folder}/{prefix}*.jsonl.gz"))]
+    if own and not clobber:
+        raise FileExistsError(f"{folder}/{prefix}*.jsonl.gz")
+    staged = f"{folder}/.{prefix}{uuid.uuid4().hex}"
+    write_extract(df, staged)
+    for path in own:
+        fs.delete(path, False)
+    parts = sorted(f.getPath().toString() for f in fs.globStatus(jvm.Path(f"{staged}/part-*")))
+    for i, part in enumerate(parts):
+        fs.rename(jvm.Path(part), jvm.Path(f"{folder}/{prefix}{i:012d}.jsonl.gz"))
+    fs.delete(jvm.Path(staged), True)
+    return len(parts)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", header: bool = True) -> DataFrame:
+    return spark.read.schema(schema).csv(path, sep=sep, header=header)
+
+
+def write_embeddings(df: DataFrame, path: str, vectors: list[str], digits: int | None = None) -> None:
+    """JSON lines with the arrays in `vectors` beside the other columns, rounded only where `digits` is given."""
+    if digits is not None:
+        for c in vectors:
+            df = df.withColumn(c, F.transform(c, lambda x: F.round(x.cast("double"), digits)))
+    df.write.mode("overwrite").json(path)
+
+
+def read_embeddings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def sampled_scan(df: DataFrame, percent: float | None = None, rows: int | None = None, seed: int | None = None) -> DataFrame:
+    """About `percent` of a table, or its first `rows` in no order."""
+    if (percent is None) == (rows is None):
+        raise ValueError("either percent or rows")
+    return df.limit(rows) if rows is not None else df.sample(withReplacement=False, fraction=percent / 100, seed=seed)
+
+
 def write_scores(df: DataFrame, path: str, clobber: bool = True) -> None:
     df.write.mode("overwrite" if clobber else "errorifexists").json(path)
 
