@@ -10,8 +10,11 @@
 4. Buckets of three or more whose members still lie in several components are compared again, all members of
    different components against each other, block by block in numpy. The largest component of a bucket is cut
    into blocks that meet only the other members, so a big group costs its size times the few that stay apart.
-   A pair is compared in the first band it shares; survivors are verified exactly on the spot, and a block gives
-   only the links that join components, fewer than it has rows. Then the components are formed anew.
+   A pair is compared in the first band it shares, by signatures alone at first. Only members with a surviving pair
+   come back with their shingle sets, survivors are verified exactly on the spot, and a block gives only the links
+   that join components, fewer than it has rows. Then the components are formed anew.
+
+Hot sets, buckets and centres are salted by their counted rows.
 
 A pair at the threshold shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 """
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components
-from topicloom.llm.shared import fresh_path, intermediate, key_filter, key_hash, lean, materialize, maybe_in, prepare, without_keys
+from topicloom.llm.shared import fresh_path, intermediate, key_filter, key_hash, lean, lookup, materialize, maybe_in, prepare, salted_join, without_keys
 from topicloom.llm.shingles import U64, mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -117,8 +120,8 @@ def _bayes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = list(shingle_sets(b.column(1), SHINGLE_WORDS))
-        sigs, raw = [signature(s).tobytes() for s in sets], [s.tobytes() for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigs, pa.binary()), pa.array(raw, pa.binary())], ["rep", "sig", "set"])
+        sizes, sigs, raw = [len(s) for s in sets], [signature(s).tobytes() for s in sets], [s.tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(raw, pa.binary())], ["rep", "size", "sig", "set"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,15 +153,14 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], ["x", "y"])
 
 
-def _joining_links(band: int, rows: list[tuple]) -> tuple[list[int], list[int]]:
-    """Rows (cell, bucket, side, rep, comp, sig, set) of one cell: verified links that join its components."""
+def _survivors(band: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (cell, bucket, side, rep, comp, size, sig, ...) of one cell: pairs of places whose signatures pass, and how
+    many minima they share."""
     side = np.array([r[2] for r in rows])
-    rep = np.array([r[3] for r in rows], dtype=np.int64)
-    comp = np.array([r[4] for r in rows], dtype=np.int64)
-    sig = np.frombuffer(b"".join(r[5] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
-    size = np.array([len(r[6]) for r in rows], dtype=np.int64)
+    rep, comp, size = (np.array([r[k] for r in rows], dtype=np.int64) for k in (3, 4, 5))
+    sig = np.frombuffer(b"".join(r[6] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.int64),) * 3]
     for at in range(0, len(left), 64):
         own = left[at : at + 64]
         apart = comp[own][:, None] != comp[right][None, :]
@@ -176,8 +178,20 @@ def _joining_links(band: int, rows: list[tuple]) -> tuple[list[int], list[int]]:
         same = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2)
         first = same.argmax(axis=1) == band
         found.append((i[first], j[first], matches[first]))
-    i, j, matches = (np.concatenate(x) for x in zip(*found, strict=True))
-    root = {int(c): int(c) for c in np.unique(comp)}
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _with_survivors(band: int, rows: list[tuple]) -> tuple[list[str], list[int]]:
+    """The cell and the members that have a surviving pair in it."""
+    i, j, _ = _survivors(band, rows)
+    reps = [rows[k][3] for k in np.union1d(i, j).tolist()]
+    return [rows[0][0]] * len(reps), reps
+
+
+def _joining_links(band: int, rows: list[tuple]) -> tuple[list[int], list[int]]:
+    """Rows that end with the shingle set: verified links that join the cell's components."""
+    i, j, matches = _survivors(band, rows)
+    root = {r[4]: r[4] for r in rows}
 
     def find(c: int) -> int:
         while root[c] != c:
@@ -187,49 +201,52 @@ def _joining_links(band: int, rows: list[tuple]) -> tuple[list[int], list[int]]:
 
     x, y = [], []
     for k in np.argsort(-matches, kind="stable").tolist():
-        p, q = int(i[k]), int(j[k])
-        a, b = find(int(comp[p])), find(int(comp[q]))
-        if a != b and _linked(np.frombuffer(rows[p][6], dtype=U64), np.frombuffer(rows[q][6], dtype=U64)):
+        p, q = rows[int(i[k])], rows[int(j[k])]
+        a, b = find(p[4]), find(q[4])
+        if a != b and _linked(np.frombuffer(p[7], dtype=U64), np.frombuffer(q[7], dtype=U64)):
             root[max(a, b)] = min(a, b)
-            x.append(int(rep[p]))
-            y.append(int(rep[q]))
+            x.append(p[3])
+            y.append(q[3])
     return x, y
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell; a cell has at most two blocks."""
-    open_cell, rows = None, []
+def _cells(work, names: tuple[str, str], first_type: pa.DataType):
+    """Rows sorted by cell go to `work`, a cell at a time; a cell has at most two blocks."""
 
-    def close() -> pa.RecordBatch:
-        x, y = _joining_links(rows[0][1] & (BANDS - 1), rows) if len(rows) > 1 else ([], [])
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["u", "v"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_cell, rows = None, []
 
-    for b in batches:
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if r[0] != open_cell:
-                if rows:
-                    yield close()
-                open_cell, rows = r[0], []
-            rows.append(r)
-    if rows:
-        yield close()
+        def close() -> pa.RecordBatch:
+            a, b = work(rows[0][1] & (BANDS - 1), rows) if len(rows) > 1 else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(a, first_type), pa.array(b, pa.int64())], list(names))
+
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if r[0] != open_cell:
+                    if rows:
+                        yield close()
+                    open_cell, rows = r[0], []
+                rows.append(r)
+        if rows:
+            yield close()
+
+    return run
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose whole shingle sets reach the threshold."""
+    """The pairs (x, y) whose whole shingle sets reach the threshold; `pairs` is a table, and many may share an x."""
     ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id")))
-    filt = key_filter(ids, key_hash("id"))
-    sets = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_sets), "id long, set binary"), "shingle-sets")
-    joined = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("p")), "x").join(
-        sets.select(F.col("id").alias("y"), F.col("set").alias("q")), "y"
-    )
+    sets = materialize(maybe_in(docs, key_hash("id"), key_filter(ids, key_hash("id"))).mapInArrow(lean(_sets), "id long, set binary"), "shingle-sets")
+    centres = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")).join(sets.select(F.col("id").alias("x"), F.col("set").alias("p")), "x")
+    spokes = pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("q")), "y")
+    joined = salted_join(spokes, materialize(centres, "centres"), ["x"], "n", pairs.count(), "y")
     return joined.select("x", "y", "p", "q").mapInArrow(lean(_exact), "x long, y long").select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
-def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | None:
+def _apart(bands: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
     """Members of buckets with several components: (bucket, rep, comp, major, n_major, n_minor); None if there are none."""
     members = (
-        bands.join(big, "bucket", "left_semi")
+        lookup(bands, buckets.where("n > 2").select("bucket", "n"), ["bucket"], "n", bands.count(), "rep")
         .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     )
@@ -239,19 +256,17 @@ def _apart(bands: DataFrame, big: DataFrame, labels: DataFrame) -> DataFrame | N
         sizes.groupBy("bucket")
         .agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("components"))
         .where("components > 1")
-        .select("bucket", F.col("top.comp").alias("major"), F.col("top.n").alias("n_major"), (F.col("total") - F.col("top.n")).alias("n_minor")),
+        .select("bucket", F.col("top.comp").alias("major"), F.col("top.n").alias("n_major"), (F.col("total") - F.col("top.n")).alias("n_minor"), "total"),
         "mixed-buckets",
     )
     if stats.isEmpty():
         return None
-    return members.join(stats, "bucket")
+    return lookup(members, stats, ["bucket"], "total", members.count(), "rep").drop("total")
 
 
-def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
+def _cell_links(docs: DataFrame, sigs: DataFrame, apart: DataFrame) -> DataFrame:
     """Verified links (u, v) between the components of mixed buckets."""
     apart = materialize(apart, "apart")
-    filt = key_filter(apart, key_hash("rep"))
-    full = materialize(maybe_in(docs, key_hash("id"), filt).mapInArrow(lean(_full), "rep long, sig binary, set binary"), "apart-sets")
     big, small = f"cast(ceil(n_major / {BLOCK}) as int)", f"cast(ceil(n_minor / {BLOCK}) as int)"
     own = f"cast(pmod(xxhash64(rep, bucket), if(comp = major, {big}, {small})) as int)"
     placed = apart.withColumn("block", F.expr(own)).withColumn("big", F.expr(big)).withColumn("small", F.expr(small))
@@ -265,9 +280,16 @@ def _cell_links(docs: DataFrame, apart: DataFrame) -> DataFrame:
     )
     dealt = placed.select("bucket", "rep", "comp", F.explode(cells).alias("c"))
     name = F.concat_ws(":", "bucket", "c.kind", "c.i", "c.j")
-    dealt = dealt.select(name.alias("cell"), "bucket", F.col("c.side").alias("side"), "rep", "comp").join(full, "rep")
-    ready = dealt.select("cell", "bucket", "side", "rep", "comp", "sig", "set").repartition("cell").sortWithinPartitions("cell")
-    return ready.mapInArrow(lean(_cells), "u long, v long")
+    dealt = dealt.select(name.alias("cell"), "bucket", F.col("c.side").alias("side"), "rep", "comp")
+    columns = ["cell", "bucket", "side", "rep", "comp", "size", "sig"]
+    near = materialize(maybe_in(sigs.select("rep", "size", "sig"), key_hash("rep"), key_filter(apart, key_hash("rep"))), "apart-signatures")
+    signed = dealt.join(near, "rep").select(*columns).repartition("cell").sortWithinPartitions("cell")
+    marked = materialize(signed.mapInArrow(lean(_cells(_with_survivors, ("cell", "rep"), pa.string())), "cell string, rep long"), "cell-survivors")
+    found = maybe_in(docs, key_hash("id"), key_filter(marked, key_hash("rep")))
+    known = materialize(found.mapInArrow(lean(_full), "rep long, size long, sig binary, set binary"), "apart-sets")
+    back = dealt.join(marked, ["cell", "rep"]).join(known, "rep").select(*columns, "set")
+    links = back.repartition("cell").sortWithinPartitions("cell").mapInArrow(lean(_cells(_joining_links, ("u", "v"), pa.int64())), "u long, v long")
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,58 +303,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     profile = materialize(base.mapInArrow(lean(_profiles), "id long, n_shingles long, set_digest binary, sig binary"), "profiles")
+    some = profile.where("n_shingles > 0 and id is not null")
     sigs = materialize(
-        profile.where("n_shingles > 0 and id is not null")
-        .groupBy("set_digest")
-        .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")),
+        some.groupBy("set_digest").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size"), F.count(F.lit(1)).alias("n")),
         "signatures",
     )
-    # Rows that share an identifier may stand in several classes: tie those classes by one link.
-    ties = (
-        profile.where("n_shingles > 0 and id is not null")
-        .select("id", "set_digest")
-        .join(sigs.select("set_digest", "rep"), "set_digest")
-        .where("id <> rep")
-        .groupBy("id")
-        .agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-        .where("lo <> hi")
-        .select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-    )
+    # An identifier whose rows stand in several classes ties them: each class by a link to the identifier's first one.
+    several = some.groupBy("id").agg(F.min("set_digest").alias("a"), F.max("set_digest").alias("b")).where("a <> b").select("id")
+    tied = some.select("id", "set_digest").join(materialize(several, "several"), "id", "left_semi").join(sigs.select("set_digest", "rep"), "set_digest")
+    ties = tied.where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")).distinct()
     bands = materialize(sigs.select("rep", "sig").mapInArrow(lean(_bands), "bucket long, rep long"), "bands")
     buckets = materialize(
         bands.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"
     )
-    filt = key_filter(buckets, key_hash("bucket"))
-    shared = maybe_in(bands, key_hash("bucket"), filt)
-    stars = (
-        shared.join(buckets, "bucket").where("rep <> center").groupBy(F.col("center").alias("x"), F.col("rep").alias("y")).agg(F.lit(1).alias("one"))
-    )
-    one = sigs.select(F.col("rep").alias("x"), F.col("sig").alias("sx"))
-    two = sigs.select(F.col("rep").alias("y"), F.col("sig").alias("sy"))
-    likely = materialize(
-        stars.join(two, "y").join(one, "x").select("x", "y", "sx", "sy").mapInArrow(lean(_bayes), "x long, y long"), "star-survivors"
-    )
+    shared = materialize(maybe_in(bands, key_hash("bucket"), key_filter(buckets, key_hash("bucket"))), "shared-bands")
+    met = lookup(shared, buckets, ["bucket"], "n", shared.count(), "rep").where("rep <> center")
+    stars = materialize(met.select(F.col("center").alias("x"), F.col("rep").alias("y")).distinct(), "stars")
+    # Most documents are in no pair: their signatures stay where they are.
+    ends = stars.select(F.col("x").alias("id")).unionByName(stars.select(F.col("y").alias("id")))
+    near = materialize(maybe_in(sigs.select("rep", "sig"), key_hash("rep"), key_filter(ends, key_hash("id"))), "near-signatures")
+    centres = stars.groupBy("x").agg(F.count(F.lit(1)).alias("n")).join(near.select(F.col("rep").alias("x"), F.col("sig").alias("sx")), "x")
+    signed = stars.join(near.select(F.col("rep").alias("y"), F.col("sig").alias("sy")), "y")
+    signed = salted_join(signed, materialize(centres, "star-centres"), ["x"], "n", stars.count(), "y")
+    likely = materialize(signed.select("x", "y", "sx", "sy").mapInArrow(lean(_bayes), "x long, y long").distinct(), "star-survivors")
     links = materialize(_verified(base, likely).unionByName(ties), "links")
     labels = materialize(components(links), "labels")
 
-    apart = _apart(shared, buckets.where("n > 2").select("bucket"), labels)
+    apart = _apart(shared, buckets, labels)
     if apart is not None:
-        more = materialize(_cell_links(base, apart), "cell-links")
+        more = materialize(_cell_links(base, sigs, apart), "cell-links")
         labels = materialize(components(links.unionByName(more)), "labels")
 
-    classes = sigs.select("set_digest", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    classes = classes.select(F.col("set_digest").alias("__d"), F.coalesce("component", "rep").alias("component_id"))
-    own = F.when(F.col("n_shingles") > 0, F.col("set_digest"))
-    return (
-        profile.select("id", "n_shingles", own.alias("__own"))
-        .join(classes, F.col("__own") == F.col("__d"), "left")
-        .select(
-            F.col("id").alias(id_col),
-            "n_shingles",
-            F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
-        )
-        .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
-    )
+    classes = sigs.select("set_digest", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left")
+    classes = materialize(classes.select("set_digest", F.coalesce("component", "rep").alias("component_id"), "n"), "classes")
+    settled_rows = lookup(some.select("id", "n_shingles", "set_digest"), classes, ["set_digest"], "n", some.count(), "id").select("id", "n_shingles", "component_id")
+    alone = profile.where("not (n_shingles > 0 and id is not null)").select("id", "n_shingles", F.col("id").alias("component_id"))
+    out = settled_rows.unionByName(alone)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id").withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
