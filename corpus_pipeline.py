@@ -1,6 +1,12 @@
 """A corpus in five stages: toxic documents go, copies go, near copies go, benchmark leaks go, the rest is encoded.
 
-Every stage is written as Parquet to the shared folder and read again as the next one's input.
+Every stage is written as Parquet to the shared folder and read again as the next one's input; that goes once the next
+output stands, and so does all that a stage wrote for itself. The result has the piece ids of every document that is left.
+
+Stages take null texts and identifiers, empty and very long texts, repeated rows, empty tables and more columns than
+documents has, whatever their names: null and empty texts are equal texts, of which the largest identifier stays, and
+pass all other stages; a row without identifier is no copy that stays beside one that has one, is near to nothing and
+is encoded with null for its identifier. Rows alike in identifier and text share one fate.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from topicloom.llm.decontaminate import decontaminate
 from topicloom.llm.exact_dedup import exact_dedup
 from topicloom.llm.minhash import near_dedup
 from topicloom.llm.sentencepiece_sampling import sampled_segmentations
-from topicloom.llm.shared import materialize
+from topicloom.llm.shared import delete, intermediate, scratch_path
 from topicloom.llm.toxicity import drop_toxic
 
 
@@ -31,7 +37,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words one in twenty or more stand in benchmark windows go."""
+    """Documents with a whole window of 13 benchmark words go, and those of whose words one in twenty stand in shorter items."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -53,7 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with intermediate(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return docs
