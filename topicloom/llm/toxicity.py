@@ -3,7 +3,9 @@
 A bounded sample of the labelled training rows teaches the lexicon: words, and word beginnings (stems), that
 stand in toxic documents beside many different neighbours and hardly ever in clean ones. Distinct neighbours, not
 occurrences, are counted, so that the words of a document copied many times don't become terms. A token matches a
-term exactly, by a stem of six letters or more and an ending of at most six, or through the automaton within one edit (five letters or more) or two (ten or more).
+term exactly, by a stem of six letters or more and an ending of at most six, or through the automaton within one edit
+(five letters or more) or two (ten or more); a term of four letters may have one of them, not the first, masked by a
+digit or a mark. The trie has every word of the lexicon.
 Windows around the matches tell quotation (quotation marks, verbs of saying) from abuse; a logistic model over
 these counts, fitted on the same sample, gives the score. Labels, language, source and identifier aren't inputs.
 """
@@ -17,25 +19,30 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.shared import intermediate, key_filter, key_hash, lean, materialize, maybe_in, prepare
 
-#: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier.
+#: Labelled rows to learn from, at most; beyond that a share of them by hash of the identifier. Everything else about the
+#: lexicon follows from what these rows say: it has every term that passes the thresholds below.
 TRAIN_ROWS = 20_000
-CANDIDATES, TERMS, FUZZY_TERMS, ACCIDENTS = 4000, 600, 100, 5000
 #: Shorter beginnings, such as "path" or "worth", are words of their own in texts that the clean training rows lack.
 STEMS = (6, 7, 8)
 #: A token has at most this many letters after its stem.
 ENDING = 6
-#: A term stands beside this many different neighbours and in this many toxic documents, or this share of them.
-MIN_NEIGHBOURS, MIN_DOCS, MIN_SHARE = 3, 2, 0.01
+#: A term stands beside this many different neighbours and in this many toxic documents.
+MIN_NEIGHBOURS, MIN_DOCS = 3, 2
 #: Clean documents count this many more than seen, so that rare terms weigh little.
 MIN_LOG_ODDS, CLEAN_PRIOR = 2.5, 1.5
+#: A term's clean documents are at most this share of its toxic ones.
+MAX_CLEAN = 0.05
+#: Terms that may be expected to pass by chance among all candidates.
+BY_CHANCE = 0.5
 WINDOW = 12
 FLAG_AT = 0.7
-TOKEN = re.compile(r"[^\W\d_]+")
+#: Letters and digits, and marks between them that stand for letters, as in "st*pid".
+TOKEN = re.compile(r"[^\W_]+(?:[*@$!#_]{1,3}[^\W_]+)*")
 #: Marks that open and close a quotation, and verbs of saying near it, in four languages.
 OPEN, CLOSE = "\"“«„‹", "\"”»“›"
 SAYING = frozenset(
@@ -43,13 +50,16 @@ SAYING = frozenset(
 )
 
 
+_UNLIKE = re.compile(r"[\d*@$!#_]")
+
+
 class FuzzyMatcher:
     """The Levenshtein automaton of every term, intersected with the trie of all of them, made lazily into a DFA.
 
     A state is a set of (trie node, edits so far); transitions are computed when first taken and kept.
     """
 
-    MAX_KEPT = 400_000
+    MAX_KEPT = 100_000
 
     def __init__(self, terms: list[str]):
         self.child: list[dict[str, int]] = [{}]
@@ -126,22 +136,27 @@ class FuzzyMatcher:
 
 @dataclass
 class Model:
-    """Learned from the sample; every part has a fixed bound."""
+    """Learned from the sample, which bounds it."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    fuzzy: list[str] = field(default_factory=list)
     accidents: frozenset[str] = frozenset()  # tokens near a term that clean training texts use
     weights: list[float] = field(default_factory=list)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_seen"}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def prepare(self) -> Model:
         self._seen: dict[str, tuple[int, float] | None] = {}
-        self._matcher = FuzzyMatcher(self.fuzzy)
+        self._matcher = FuzzyMatcher(sorted(self.words))
+        self._masked = {f"{t[:i]}.{t[i + 1 :]}": t for t in sorted(self.words) if len(t) == 4 for i in (1, 2, 3)}
         return self
 
+    def release(self) -> None:
+        """What was kept to look up tokens goes; an idle worker holds none of it."""
+        for k in [k for k in self.__dict__ if k.startswith("_")]:
+            del self.__dict__[k]
+
     def look(self, token: str) -> tuple[int, float] | None:
         """(0 exact or stem, 1 misspelled; log-odds) of a token."""
         try:
@@ -156,9 +171,12 @@ class Model:
                 w = s
         if w is not None:
             out = (0, w)
-        elif len(token) >= 4 and token not in self.accidents and (m := self._matcher.match(token)) and m[1]:
-            out = (1, self.words[m[0]])
-        if len(self._seen) > 200_000:
+        elif len(token) >= 4 and token not in self.accidents:
+            if (m := self._matcher.match(token)) and m[1]:
+                out = (1, self.words[m[0]])
+            elif len(token) == 4 and (t := self._masked.get(_UNLIKE.sub(".", token))):
+                out = (1, self.words[t])
+        if len(self._seen) > 100_000:
             self._seen.clear()
         self._seen[token] = out
         return out
@@ -212,46 +230,51 @@ def held_out(id_col):
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to their distinct (token, the token before)."""
     for b in batches:
-        ids, toks, prev = [], [], []
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        toks, prev = [], []
+        for t in b.column(0).to_pylist():
             own = TOKEN.findall(t.lower())
-            ids += [i] * len(own)
-            toks += own
-            prev += ["", *own[:-1]] if own else []
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toks, pa.string()), pa.array(prev, pa.string())], ["doc", "token", "prev"])
+            for x, before in set(zip(own, ["", *own], strict=False)):
+                toks.append(x)
+                prev.append(before)
+        yield pa.RecordBatch.from_arrays([pa.array(toks, pa.string()), pa.array(prev, pa.string())], ["token", "prev"])
 
 
-def _count_terms(words: frozenset[str], stems: frozenset[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                own = set(TOKEN.findall(t.lower()))
-                begin = {x[:k] for x in own for k in STEMS if k <= len(x) <= k + ENDING}
-                seen.update(("word", x) for x in own & words)
-                seen.update(("stem", x) for x in begin & stems)
-        kinds, terms, n = [k for k, _ in seen], [t for _, t in seen], list(seen.values())
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(terms, pa.string()), pa.array(n, pa.int64())], ["kind", "term", "n"])
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to the words and stems in them, each with its number of texts."""
+    seen: Counter = Counter()
+    for b in batches:
+        for t in b.column(0).to_pylist():
+            own = set(TOKEN.findall(t.lower()))
+            seen.update(("word", x) for x in own)
+            seen.update({("stem", x[:k]) for x in own for k in STEMS if k <= len(x) <= k + ENDING})
+    kinds, terms, n = [k for k, _ in seen], [t for _, t in seen], list(seen.values())
+    yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(terms, pa.string()), pa.array(n, pa.int64())], ["kind", "term", "n"])
 
-    return run
+
+def _with(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, while the model is ready to look up tokens."""
+    model.prepare()
+    try:
+        yield from batches
+    finally:
+        model.release()
 
 
 def _near_tokens(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model.prepare()
-        for b in batches:
-            own = Counter(x for t in b.column(0).to_pylist() for x in set(TOKEN.findall(t.lower())))
+        for b in _with(model, batches):
+            own = {x for t in b.column(0).to_pylist() for x in TOKEN.findall(t.lower())}
             near = [x for x in own if (m := model.look(x)) and m[0] == 1]
-            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string()), pa.array([own[x] for x in near], pa.int64())], ["token", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["token"])
 
     return run
 
 
 def _features(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model.prepare()
-        for b in batches:
+        for b in _with(model, batches):
             x = [model.features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
@@ -304,37 +327,33 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not pos or not neg:
         return model
 
-    tokens = materialize(sample.where("toxic = 1").select("id", "text").mapInArrow(lean(_tokens), "doc long, token string, prev string"), "toxic-tokens")
+    # Frequent everywhere or only here: documents of both kinds are counted, for words and stems.
+    common, bad = sample.where("toxic = 0").select("text"), sample.where("toxic = 1").select("text")
+    docs_of = lambda texts, n: texts.mapInArrow(lean(_count_terms), "kind string, term string, n long").groupBy("kind", "term").agg(F.sum("n").alias(n))
+    found = materialize(docs_of(bad, "docs").where((F.length("term") >= 3) & (F.col("docs") >= MIN_DOCS)), "terms")
+    odds = F.log((F.col("docs") + 0.5) / (pos + 1)) - F.log((F.col("n") + CLEAN_PRIOR) / (neg + 1))
+    known = found.join(docs_of(common, "n"), ["kind", "term"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("odds", odds)
+    least = float(np.log(max(1, found.count()) / BY_CHANCE))
+    share = pos / (pos + neg)
+
+    def sure(k: str) -> Column:
+        """Chernoff's bound on the chance that a term which says nothing stands in k toxic documents and n clean ones."""
+        m = F.col(k) + F.col("n")
+        part = lambda x, p: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (m * p))).otherwise(0.0)
+        return (F.col(k) >= m * share) & (part(k, share) + part("n", 1 - share) >= least)
+
+    chosen = (F.col("odds") >= MIN_LOG_ODDS) & (F.col("n") <= MAX_CLEAN * F.col("docs")) & sure("docs")
+    known = materialize(known.where(chosen), "candidates")
+    # Copies of a document share their neighbours, so no more documents count than there are neighbours.
+    tokens = bad.mapInArrow(lean(_tokens), "token string, prev string")
     stems = F.explode(F.expr(f"transform(filter(array({', '.join(map(str, STEMS))}), k -> length(token) between k and k + {ENDING}), k -> substring(token, 1, k))"))
-    long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "doc", "prev").unionByName(
-        tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "doc", "prev")
-    )
-    found = (
-        long_form.where("length(term) >= 3")
-        .groupBy("kind", "term")
-        .agg(F.approx_count_distinct("prev").alias("neighbours"), F.approx_count_distinct("doc").alias("docs"))
-        .where((F.col("neighbours") >= MIN_NEIGHBOURS) & (F.col("docs") >= max(MIN_DOCS, MIN_SHARE * pos)))
-    )
-    # Frequent everywhere or only here: the clean texts decide; a candidate list of fixed length goes to them.
-    common = sample.where("toxic = 0").select("text")
-    rows = found.orderBy(F.desc("docs"), F.desc("neighbours"), "kind", "term").limit(4 * CANDIDATES).collect()
-    words, begin = frozenset(r.term for r in rows if r.kind == "word"), frozenset(r.term for r in rows if r.kind == "stem")
-    clean = {
-        (r.kind, r.term): r.n
-        for r in common.mapInArrow(lean(_count_terms(words, begin)), "kind string, term string, n long").groupBy("kind", "term").agg(F.sum("n").alias("n")).collect()
-    }
-    scored = []
-    for r in rows:
-        n = clean.get((r.kind, r.term), 0)
-        odds = float(np.log((min(r.docs, pos) + 0.5) / (pos + 1)) - np.log((n + CLEAN_PRIOR) / (neg + 1)))
-        if odds >= MIN_LOG_ODDS and n <= 0.05 * r.docs:
-            scored.append((min(r.neighbours, 10_000) * odds, odds, r.kind, r.term))
-    scored.sort(key=lambda x: (-x[0], x[2], x[3]))
-    scored = scored[:TERMS]
-    model.words = {t: o for _, o, k, t in scored if k == "word"}
-    model.stems = {t: o for _, o, k, t in scored if k == "stem"}
-    model.fuzzy = list(model.words)[:FUZZY_TERMS]
-    near = common.mapInArrow(lean(_near_tokens(model)), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(ACCIDENTS).collect()
+    long_form = tokens.select(F.lit("word").alias("kind"), F.col("token").alias("term"), "prev").unionByName(tokens.select(F.lit("stem").alias("kind"), stems.alias("term"), "prev"))
+    beside = long_form.join(known.select("kind", "term"), ["kind", "term"], "left_semi").groupBy("kind", "term").agg(F.count_distinct("prev").alias("neighbours"))
+    known = known.join(beside, ["kind", "term"]).withColumn("k", F.least("docs", "neighbours"))
+    lexicon = known.where((F.col("neighbours") >= MIN_NEIGHBOURS) & sure("k")).select("kind", "term", "odds").collect()
+    model.words = {r.term: r.odds for r in sorted(lexicon) if r.kind == "word"}
+    model.stems = {r.term: r.odds for r in sorted(lexicon) if r.kind == "stem"}
+    near = common.mapInArrow(lean(_near_tokens(model)), "token string").distinct().collect()
     model.accidents = frozenset(r.token for r in near)
     data = sample.select(F.col("toxic").cast("double").alias("toxic"), "text").mapInArrow(lean(_features(model)), "toxic double, x array<double>").collect()
     data.sort(key=lambda r: (r.toxic, r.x))
@@ -344,8 +363,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model.prepare()
-        for b in batches:
+        for b in _with(model, batches):
             s = [model.score(t or "") for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["id", "score"])
 
@@ -355,8 +373,9 @@ def _scorer(model: Model):
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = TRAIN_ROWS) -> DataFrame:
     """Per row of `docs`: id_col, held_out, score in 0 to 1, predicted (1 from 0.7).
 
-    Null and empty texts score as texts without matches. Repeated rows score alike; a row without identifier isn't
-    held out. An empty table gives an empty result.
+    Null and empty texts score as texts without matches, texts of any length are read whole. Repeated rows score alike; a
+    row without identifier isn't held out; a score of exactly 0.7 counts as 1. Of several terms as near to a token the
+    first by letters is meant. Other columns of `docs` are left out. An empty table gives an empty result.
     """
     with intermediate(docs.sparkSession):
         model = train(docs, labels, id_col, text_col, max_rows)
@@ -378,8 +397,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model.prepare()
-        for b in batches:
+        for b in _with(model, batches):
             yield b.filter(pa.array([model.score(t or "") < FLAG_AT for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(lean(run), schema)
