@@ -35,8 +35,8 @@ SAMPLES = 2
 SEED = 17
 #: Units of more bytes are summed node by node, and walked by a chain of picks made for all their nodes at once.
 LONG_UNIT = 64
-#: Arcs that a bank of lattices has when it is emptied, of 32 bytes each.
-BANK_ARCS = 3_000_000
+#: Arcs that a bank of lattices has when it is emptied, of 28 bytes each.
+BANK_ARCS = 800_000
 #: Texts are taken in chunks of about this many bytes; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 17
 MARK = "▁".encode()
@@ -286,11 +286,16 @@ class Bank(Lattices):
 
     def __init__(self, v: Vocabulary):
         self.v = v
+        self.release()
+
+    def release(self) -> None:
+        """Empties the bank and gives its room back."""
+        kinds = {"piece": np.int32, "length": np.int32, "node": np.int32, "chance": float, "p": float, "first": np.int64}
+        self._room = {k: np.zeros(1, dtype=d) for k, d in kinds.items()}
         self._empty()
 
     def _empty(self) -> None:
-        self._room = {k: np.zeros(0, dtype=d) for k, d in (("piece", np.int32), ("length", np.int32), ("node", np.int64), ("chance", float), ("p", float), ("first", np.int64))}
-        self._room["first"] = np.zeros(1, dtype=np.int64)
+        """The room stays for what comes next; first[0] is 0 for good."""
         self.start = self.end = np.zeros(0, dtype=np.int64)
         self.hashes, self.order = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
         self._used = {**dict.fromkeys(self.PARTS, 0), "first": 1}
@@ -303,7 +308,9 @@ class Bank(Lattices):
     def _append(self, k: str, values: np.ndarray) -> None:
         n = self._used[k]
         if n + len(values) > len(self._room[k]):
-            self._room[k] = np.concatenate([self._room[k][:n], np.empty(n + len(values), dtype=self._room[k].dtype)])
+            room = np.empty(max(n + len(values), min(2 * n, BANK_ARCS)), dtype=self._room[k].dtype)
+            room[:n] = self._room[k][:n]
+            self._room[k] = room
         self._room[k][n : n + len(values)] = values
         self._used[k] = n + len(values)
 
@@ -311,13 +318,12 @@ class Bank(Lattices):
         """The place in the bank of every unit data[start[i] : start[i + 1]]."""
         if len(self.p) > BANK_ARCS:
             self._empty()
-        h = _unit_hashes(data, start)
+        h, example, which = np.unique(_unit_hashes(data, start), return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, h)
         known = np.append(self.hashes, U64(0))[at] == h
         known[at == len(self.hashes)] = False
-        fresh, example = np.unique(h[~known], return_index=True)
-        if len(fresh):
-            own, places = np.flatnonzero(~known)[example], len(self.start)
+        if not known.all():
+            own, places = example[~known], len(self.start)
             sizes = start[own + 1] - start[own]
             turn = (np.cumsum(sizes) - sizes) // CHUNK_BYTES  # built some at a time, so that a long text needs no more room
             for t in np.unique(turn):
@@ -330,10 +336,10 @@ class Bank(Lattices):
                 self._append("first", lat.first[1:] + arcs)
                 self._show()
                 self.start, self.end = np.append(self.start, lat.start + nodes), np.append(self.end, lat.end + nodes)
-            where = np.searchsorted(self.hashes, fresh)
-            self.hashes, self.order = np.insert(self.hashes, where, fresh), np.insert(self.order, where, places + np.arange(len(fresh)))
-            at = np.searchsorted(self.hashes, h)
-        return self.order[at]
+            self.order = np.insert(self.order, at[~known], places + np.arange(len(own)))
+            self.hashes = np.insert(self.hashes, at[~known], h[~known])
+            at = at + np.cumsum(~known) - ~known
+        return self.order[at][which]
 
 
 def _uniform(key: np.ndarray, *place, bits: int = 52) -> np.ndarray:
@@ -574,6 +580,12 @@ def _round_trip(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray, texts: pa.Ar
 def _sampler(path: str, k: int, seed: int, round_trip: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
+        try:
+            yield from sampled(v, batches)
+        finally:  # an idle worker holds no lattices
+            v.bank.release()
+
+    def sampled(v: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
             i = 0

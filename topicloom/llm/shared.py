@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import re
 import shutil
 import tempfile
@@ -141,6 +142,7 @@ def lean(run: ArrowMap) -> ArrowMap:
         try:
             yield from run(batches)
         finally:
+            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

@@ -18,7 +18,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _PLACE = _RNG.integers(0, 2**64, 64, dtype=U64) | U64(1)
 
 #: Texts are hashed in chunks of about this many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,9 +44,12 @@ class _Hasher:
     def words(self, data: np.ndarray, starts_of_texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word hashes of concatenated texts, in order, and each word's start."""
         n = len(data)
-        if n + 1 > len(self.up):
+        up, down = self.up, self.down
+        if n + 1 > len(up):
             size = 1 << (n + 1).bit_length()
-            self.up, self.down = _powers(_BASE, size), _powers(_BASE_INV, size)
+            up, down = _powers(_BASE, size), _powers(_BASE_INV, size)
+            if n <= 2 * CHUNK_BYTES:  # those for a very long text aren't kept
+                self.up, self.down = up, down
         solid = ~_SPACE[data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
@@ -59,8 +62,8 @@ class _Hasher:
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         total = np.empty(n + 1, dtype=U64)
         total[0] = 0
-        np.cumsum(_BYTE[data] * self.up[:n], out=total[1:])
-        return mix((total[e] - total[s]) * self.down[s] + (e - s).astype(U64)), s
+        np.cumsum(_BYTE[data] * up[:n], out=total[1:])
+        return mix((total[e] - total[s]) * down[s] + (e - s).astype(U64)), s
 
 
 _HASHER = _Hasher()
