@@ -5,39 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.shared import materialize
+from topicloom.llm.shared import materialize, salted_join
 
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of u is tied to the smallest of u and its neighbours."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    tied = salted_join(both.where("v > u"), materialize(least, "neighbours"), ["u"], "n", 2 * total, "v")
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Edges point from larger to smaller; u and its smaller neighbours are tied to the smallest."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    edges = materialize(edges, "edges")
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "neighbours")
+    moved = salted_join(edges, least, ["u"], "n", total, "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node with an edge, component being the smallest node reachable.
 
-    `edges` has long columns u and v, in any direction; loops and repeats do no harm. Only counts and a checksum
-    reach the driver. Groups are never gathered: hubs are handled by a partial minimum and a join.
+    `edges` has long columns u and v, in any direction; loops and repeats do no harm. Only counts and a checksum reach
+    the driver. Groups are never gathered: a hub is a partial minimum and a salted join.
     """
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
+    total, seen = now.count(), None
     for _ in range(MAX_ROUNDS):
-        now = materialize(_small_star(_large_star(now)), "edges")
+        now = materialize(_small_star(_large_star(now, total), total), "edges")
         row = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
         if tuple(row) == seen:
             break
-        seen = tuple(row)
+        seen, total = tuple(row), row[0]
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("u"), "v").distinct()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.components import components
-from topicloom.llm.shared import fresh_path, intermediate, key_filter, key_hash, lean, lookup, materialize, maybe_in, prepare, salted_join, without_keys
+from topicloom.llm.shared import intermediate, key_filter, key_hash, lean, lookup, materialize, maybe_in, prepare, salted_join, scratch_path, without_keys
 from topicloom.llm.shingles import U64, mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -344,7 +344,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one document of each component, the one with the smallest identifier."""
-    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "near-marks")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "near-marks")
     with intermediate(spark):
         near_duplicates(docs, id_col, text_col).write.parquet(path)
     marked = spark.read.parquet(path)
