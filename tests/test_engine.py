@@ -149,6 +149,8 @@ def test_vectors_and_combination(spark):
     assert one(spark, [0.0, 0.0], vectors.normed, "array<double>") == [0.0, 0.0]
     assert one(spark, [3.0, 4.0], vectors.normed, "array<double>") == [0.6, 0.8]
     assert one(spark, [], vectors.sparse_normed, "array<struct<i:int,v:double>>") == []
+    assert [tuple(p) for p in one(spark, [(2, 3.0), (7, 4.0)], vectors.sparse_normed, "array<struct<i:int,v:double>>")] == [(2, 0.6), (7, 0.8)]
+    assert [tuple(p) for p in one(spark, [(2, 0.0)], vectors.sparse_normed, "array<struct<i:int,v:double>>")] == [(2, 0.0)]
     row = spark.createDataFrame([(1.2, -0.5, 0.0, None)], "a double, b double, c double, d double")
     s = [F.col(c) for c in "abcd"]
     got = row.select(*[scoring.combine(m, *s).alias(m) for m in ("mean", "positive", "unit")]).first()

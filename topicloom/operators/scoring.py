@@ -10,6 +10,8 @@ from topicloom.functions.vectors import dot, normed
 
 #: Fields whose vectors are broadcast to the documents; more are joined through blocks of documents.
 MAX_BROADCAST_FIELDS = 20_000
+#: Entries of the topics' inverted lists that are broadcast, of some 50 bytes each.
+MAX_BROADCAST_WEIGHTS = 1_000_000
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, vocabulary: DataFrame | None = None) -> DataFrame:
@@ -31,9 +33,15 @@ def tfidf(counts: DataFrame, id_col: str, n_docs: Column | None = None, document
 
 
 def sparse_cosine(docs: DataFrame, fields: DataFrame, doc_id: str, field_id: str) -> DataFrame:
-    """(doc_id, field_id, similarity) of pairs that share a term, by joining the inverted lists of both sides."""
+    """(doc_id, field_id, similarity) of pairs that share a term, by joining the inverted lists of both sides.
+
+    A taxonomy's lists are broadcast while they have at most MAX_BROADCAST_WEIGHTS entries, so documents stay where they
+    are and a term that most texts have is no hot key; sums are partly made before the one shuffle.
+    """
     a = docs.select(doc_id, "term", F.col("weight").alias("wa"))
     b = fields.select(field_id, "term", F.col("weight").alias("wb"))
+    if b.count() <= MAX_BROADCAST_WEIGHTS:
+        b = F.broadcast(b)
     return a.join(b, "term").groupBy(doc_id, field_id).agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
 
 

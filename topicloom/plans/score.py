@@ -139,7 +139,7 @@ def averaged(scores: DataFrame) -> DataFrame:
     return scores.withColumn("score", settle(combine("unit", *[F.col(c) for c in ("dense", "sparse", "entity")])))
 
 
-def _pairs_with(ids: DataFrame, topics: DataFrame) -> DataFrame:
+def pairs_with(ids: DataFrame, topics: DataFrame) -> DataFrame:
     """Every id with every topic; topics are a taxonomy's, held as one array."""
     names = topics.agg(F.array_sort(F.collect_list("name")).alias("names"))
     return ids.select("id", F.explode(names.scalar()).alias("name"))
@@ -156,7 +156,7 @@ def score_corpus(texts: DataFrame, fields: DataFrame, children: DataFrame, model
     d = embed(texts, models, "docs", keep)
     f = embed(fields.select(F.col("name").alias("id"), "text"), models, "fields", keep)
     ids, meta = texts.select("id"), fields.select("name", "level")
-    upper = averaged(similarities(_pairs_with(ids, meta.where("level <= 1") if constrained else meta), d, f)).join(meta, "name")
+    upper = averaged(similarities(pairs_with(ids, meta.where("level <= 1") if constrained else meta), d, f)).join(meta, "name")
     upper = keep("upper-scores", lambda: upper.select("id", "level", "name", "score"))
     if not constrained:
         return rank_per_level(upper, "id", emit)

@@ -459,7 +459,7 @@ def score_variants(spark, sf_dir):
     r = Roles(spark, sf_dir)
     docs = score.embed(_texts(r), _models(r), "docs", r.keep)
     fields = score.embed(_fields(r).select(F.col("name").alias("id"), "text"), _models(r), "topics", r.keep)
-    pairs = score._pairs_with(_texts(r), _fields(r).where("level <= 1"))
+    pairs = score.pairs_with(_texts(r), _fields(r).where("level <= 1"))
     out = score.score_output(score.averaged(score.similarities(pairs, docs, fields)), ("dense", "sparse", "entity"), precision=3)
     one = out.select("merged_id", F.explode("fields").alias("name", "score"), "dense", "sparse", "entity")
     return one.select("merged_id", "name", "score", *[F.element_at(p, F.col("name")).alias(p) for p in ("dense", "sparse", "entity")])
