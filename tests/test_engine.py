@@ -172,6 +172,38 @@ def test_null_arrays_zero_scores_and_denied_topics(spark):
     assert [(r.merged_id, r.top_l0, r.top_3_l0, r.top_l1, r.top_3_l1) for r in top] == [("b", "Y", ["Y"], None, [])]
 
 
+def test_old_imputed_scores_can_be_left_out(spark):
+    kind = "merged_id string, fields array<struct<name:string,score:double>>"
+    new = spark.createDataFrame([("a", [("X", 0.5)])], kind)
+    prod = spark.createDataFrame([("b", [("Y", 0.4)], True), ("c", [("Z", 0.3)], False)], kind + ", is_imputed boolean")
+    meta = spark.createDataFrame([(f"o{i}", "t", True, "en", None, None, None) for i in "abc"], "id string, title string, title_ok boolean, title_code string, abstract string, abstract_ok boolean, abstract_code string")
+    sources = spark.createDataFrame([(f"o{i}", i) for i in "abc"], "orig_id string, merged_id string")
+    ids = lambda **o: {r.merged_id for r in pipeline.en_scores(new, prod, meta, sources, **o).collect()}
+    assert ids() == {"a", "b", "c"} and ids(observed_only=True) == {"a", "c"}
+
+
+def test_long_and_nested_chains_agree(spark):
+    kind = "merged_id string, fields array<struct<name:string,score:double>>"
+    new = spark.createDataFrame([("a", [("X", 0.5), ("Y", 0.1)]), ("d", [("Access Control", 0.2)])], kind)
+    prod = spark.createDataFrame([("a", [("Z", 0.9)]), ("b", [("Y", 0.4)]), ("f", [("Q", 1.0)])], kind)
+    meta = spark.createDataFrame([(f"o{i}", "t", True, "en", None, None, None) for i in "abcd"], "id string, title string, title_ok boolean, title_code string, abstract string, abstract_ok boolean, abstract_code string")
+    sources = spark.createDataFrame([(f"o{i}", i) for i in "abcdu"], "orig_id string, merged_id string")
+    edges = spark.createDataFrame([("u", "a"), ("b", "u"), ("u", "d"), ("u", "u"), ("a", "u"), ("a", "b")], "merged_id string, ref_id string")
+    scored = pipeline.en_scores(new, prod, meta, sources)
+    ids, long = pipeline.en_long(pipeline.unnest(new, "merged_id"), pipeline.unnest(prod, "merged_id"), meta, sources)
+    rows = lambda df: {tuple(r) for r in df.collect()}
+    assert rows(ids) == rows(scored.select("merged_id")) == {("a",), ("b",), ("d",)}
+    assert rows(long) == rows(pipeline.unnest(scored, "merged_id"))
+    near, pairs = pipeline.neighbor_scores(edges, scored), pipeline.neighbor_pairs(edges, ids)
+    assert rows(pairs) == rows(near.select("merged_id", "neighbor_id")) == {("u", "a"), ("u", "b"), ("u", "d")}
+    imputed = pipeline.imputed_from(pairs, long)
+    assert rows(imputed) == rows(pipeline.imputed_long(near)) and imputed.first().neighbors_count == 3
+    final = pipeline.field_scores(scored, pipeline.imputed_scores(near), sources)
+    assert rows(pipeline.field_long(long, imputed, sources).select("merged_id", "name", "score")) == rows(pipeline.unnest(final, "merged_id"))
+    topics = spark.createDataFrame([("X", 0), ("Y", 1)], "name string, level int")
+    assert {r.merged_id: r.top_l1 for r in pipeline.top_fields(final, topics).collect()} == {"a": "Y", "b": "Y", "u": "Y"}
+
+
 def test_imputation_counts_neighbours_without_scores(spark):
     fields = "merged_id string, fields array<struct<name:string,score:double>>"
     scored = spark.createDataFrame([("s1", [("X", 0.8)]), ("s2", [])], fields)
@@ -226,6 +258,10 @@ def test_tables(spark, tmp_path):
     tables.write_clustered(rows, str(tmp_path / "stage/c"), ["text"], 2)
     tables.publish(spark, str(tmp_path / "stage"), str(tmp_path / "prod"), str(tmp_path / "backup"), ["c"], "20240101")
     assert spark.read.parquet(str(tmp_path / "backup/c_20240101")).count() == 2
+    for day in ("20240301", "20240201"):
+        tables.publish(spark, str(tmp_path / "stage"), str(tmp_path / "prod"), str(tmp_path / "backup"), ["c"], day)
+    assert tables.clean_backups(spark, str(tmp_path / "backup"), ["c", "d"], keep=1) == ["c_20240101", "c_20240201"]
+    assert spark.read.parquet(str(tmp_path / "backup/c_20240301")).count() == 2
     changed = spark.createDataFrame([("b", "z"), ("c", "w")], tables.CORPUS)
     assert {tuple(r) for r in tables.upsert(rows, changed, ["merged_id"]).collect()} == {("a", "x"), ("b", "z"), ("c", "w")}
     scores = spark.createDataFrame([("a", [("x", 0.1), ("x", 0.2)])], tables.SCORES)

@@ -140,6 +140,19 @@ def publish(spark: SparkSession, staging: str, production: str, backup: str, tab
         df.write.mode("overwrite").parquet(f"{backup}/{name}_{day}")
 
 
+def clean_backups(spark: SparkSession, backup: str, tables: list[str], keep: int = 3) -> list[str]:
+    """Deletes all but the `keep` latest dated backups of each table; the names of those that went."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(backup).getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for name in tables:
+        dated = sorted(f.getPath().getName() for f in fs.globStatus(jvm.Path(f"{backup}/{name}_{'[0-9]' * 8}")))
+        for old in dated[: max(0, len(dated) - keep)]:
+            fs.delete(jvm.Path(f"{backup}/{old}"), True)
+            gone.append(old)
+    return gone
+
+
 def described(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     for column, comment in comments.items():
         if column in df.columns:
