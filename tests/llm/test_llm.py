@@ -169,6 +169,9 @@ def test_digest_index_files(spark, tmp_path):
         want[hashlib.sha256(str(i % 300).encode()).digest()].append(i % 700)
     assert got == {d: (min(v), max(v), len(v)) for d, v in want.items()}
     assert not list((tmp_path / "index").glob("level=0"))
+    some = [hashlib.sha256(b"7").digest(), hashlib.sha256(b"299").digest(), b"unknown"]
+    assert {bytes(r.digest): r.n for r in index.probe(some).collect()} == {d: len(want[d]) for d in some[:2]}
+    assert "In(digest" in index.probe(some)._jdf.queryExecution().executedPlan().toString()
 
 
 # 3

@@ -97,6 +97,10 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(self.level_path(self.level))
 
+    def probe(self, digests: list[bytes]) -> DataFrame:
+        """The rows of a few digests: statistics and Bloom filters rule out most files before a row is read."""
+        return self.read().where(F.col("digest").isin([F.lit(bytes(d)) for d in digests]))
+
     def hits(self) -> DataFrame:
         """(digest, min_id, max_id, n) of the digests that stand for several rows."""
         return self.read().where("n > 1").select("digest", "min_id", "max_id", "n")
