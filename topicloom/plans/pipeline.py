@@ -83,13 +83,22 @@ def no_null_fields(df: DataFrame) -> DataFrame:
     return df.withColumn("fields", F.coalesce("fields", F.expr(EMPTY)))
 
 
-def en_long(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED) -> tuple[DataFrame, DataFrame]:
-    """(merged_id) and (merged_id, name, score): new scores, and old ones of documents still in the language that weren't
-    scored anew. Denied topics have no score, but a document whose every topic is denied stays among the identifiers."""
+def merged_long(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en") -> DataFrame:
+    """(merged_id, name, score): new scores, and old ones of documents still in the language that weren't scored anew."""
     in_lang = language_meta(meta, sources, lang).select("merged_id").distinct()
     old = prod.join(new.select("merged_id").distinct(), "merged_id", "left_anti").join(in_lang, "merged_id", "left_semi")
-    both = new.select("merged_id", "name", "score").unionByName(old.select("merged_id", "name", "score"))
-    return both.select("merged_id").distinct(), both.where(~F.col("name").isin(*denied))
+    return new.select("merged_id", "name", "score").unionByName(old.select("merged_id", "name", "score"))
+
+
+def allowed_topics(scores: DataFrame, denied=DENIED) -> DataFrame:
+    return scores.where(~F.col("name").isin(*denied))
+
+
+def en_long(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED) -> tuple[DataFrame, DataFrame]:
+    """(merged_id) and (merged_id, name, score) of the merged scores. Denied topics have no score, but a document whose
+    every topic is denied stays among the identifiers."""
+    both = merged_long(new, prod, meta, sources, lang)
+    return both.select("merged_id").distinct(), allowed_topics(both, denied)
 
 
 def en_scores(new: DataFrame, prod: DataFrame, meta: DataFrame, sources: DataFrame, lang: str = "en", denied=DENIED, observed_only: bool = False) -> DataFrame:

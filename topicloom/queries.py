@@ -54,7 +54,7 @@ def _kept_corpus(r: Roles) -> DataFrame:
 
 
 def _counts(r: Roles) -> DataFrame:
-    return r.keep("corpus-counts", lambda: scoring.term_counts(_corpus(r), "merged_id", "text"))
+    return r.keep("corpus-counts", lambda: scoring.term_counts(_kept_corpus(r), "merged_id", "text"))
 
 
 def _number(c="merged_id"):
@@ -93,13 +93,16 @@ def prev_corpus_refresh(spark, sf_dir):
 # Scores
 
 
+def _merged(r: Roles) -> DataFrame:
+    return r.keep("merged_long", lambda: pipeline.merged_long(r.new_scores(), r.prod_scores(), r.score_meta(), r.sources()))
+
+
 def _en(r: Roles) -> DataFrame:
-    """Long scores; every scored document of the fixtures keeps a topic, so identifiers are taken from them."""
-    return r.keep("en_long", lambda: pipeline.en_long(r.new_scores(), r.prod_scores(), r.score_meta(), r.sources(), denied=DENIED)[1])
+    return pipeline.allowed_topics(_merged(r), DENIED)
 
 
 def _en_ids(r: Roles) -> DataFrame:
-    return r.keep("en_ids", lambda: pipeline.en_long(r.new_scores(), r.prod_scores(), r.score_meta(), r.sources(), denied=DENIED)[0])
+    return r.keep("en_ids", lambda: _merged(r).select("merged_id").distinct())
 
 
 def _pairs(r: Roles) -> DataFrame:
@@ -107,11 +110,11 @@ def _pairs(r: Roles) -> DataFrame:
 
 
 def _imputed(r: Roles) -> DataFrame:
-    return r.keep("imputed_long", lambda: pipeline.imputed_from(_pairs(r), _en(r)))
+    return pipeline.imputed_from(_pairs(r), _en(r))
 
 
 def _field_long(r: Roles) -> DataFrame:
-    return r.keep("field_long", lambda: pipeline.field_long(_en(r), _imputed(r), r.sources()))
+    return pipeline.field_long(_en(r), _imputed(r), r.sources())
 
 
 def _final(r: Roles) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -382,7 +385,7 @@ def _vectors(r: Roles, terms: list[str], key: str) -> DataFrame:
 
 
 def _mentions(r: Roles) -> DataFrame:
-    found = _corpus(r).select("merged_id", match.find_terms(F.col("text"), _dictionary(r)).alias("found"))
+    found = _kept_corpus(r).select("merged_id", match.find_terms(F.col("text"), _dictionary(r)).alias("found"))
     return analysis.mention_counts(found, "merged_id", "found")
 
 
@@ -689,7 +692,7 @@ def coverage_counts(spark, sf_dir):
 @query
 def level_shares(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    top = pipeline.top_long(_field_long(r), r.meta_fields())
+    top = r.keep("tops", lambda: pipeline.top_long(_field_long(r), r.meta_fields()).select("merged_id", "top_l0", "top_l1"))
     parts = [analysis.shares(top.where(F.col(c).isNotNull()), c).select(F.lit(c).alias("level"), F.col(c).alias("name"), "n", "pct") for c in ("top_l0", "top_l1")]
     return parts[0].unionByName(parts[1])
 
@@ -751,10 +754,11 @@ def sampling_frame(spark, sf_dir):
 @query
 def labelled_sample(spark, sf_dir):
     r = Roles(spark, sf_dir)
-    sample = analysis.hash_sample(_field_long(r).select("merged_id").distinct(), analysis.portable_hash(_number()), 10)
+    scores = r.keep("field_long", lambda: _field_long(r))
+    sample = analysis.hash_sample(scores.select("merged_id").distinct(), analysis.portable_hash(_number()), 10)
     texts = r.order_meta().where("lang = 'en'").join(r.table("orders"), "o_orderkey")
     texts = texts.where("o_orderstatus <> 'P'").select("merged_id", F.col("o_orderpriority").alias("title"), F.when(F.col("o_totalprice") > 100_000, "dear").alias("abstract"))
-    out = analysis.labelled_sample(sample, _field_long(r), r.meta_fields(), texts)
+    out = analysis.labelled_sample(sample, scores, r.meta_fields(), texts)
     return out.select("merged_id", "title", "abstract", F.array_join(F.transform("fields", lambda f: f["name"]), "|").alias("names"), F.size("fields").cast("long").alias("n"))
 
 
