@@ -36,7 +36,7 @@ SEED = 17
 #: Units of more bytes are summed node by node, and walked by a chain of picks made for all their nodes at once.
 LONG_UNIT = 64
 #: Arcs that a bank of lattices has when it is emptied, of 28 bytes each.
-BANK_ARCS = 800_000
+BANK_ARCS = 1_200_000
 #: Texts are taken in chunks of about this many bytes; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 17
 MARK = "▁".encode()
@@ -103,9 +103,7 @@ class Vocabulary:
                 spelt.append(" ⁇ ".encode())
             else:
                 spelt.append(b"" if sp.is_control(i) else sp.id_to_piece(i).encode().replace(MARK, b" "))
-        self.spelt = np.frombuffer(b"".join(spelt), dtype=np.uint8)
-        self.spelt_size = np.array([len(x) for x in spelt])
-        self.spelt_at = np.cumsum(self.spelt_size) - self.spelt_size
+        self.spelt = pa.array(spelt, pa.large_binary())
 
     def _neighbours(self, pieces: list[str]) -> None:
         """Which characters some piece has side by side: a table over the characters of all pieces, 0 being any other."""
@@ -126,9 +124,10 @@ class Vocabulary:
 
     def texts(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
         """The text of each list of ids, list i being ids[bounds[i] : bounds[i + 1]]; the first piece's leading space goes."""
-        size = self.spelt_size[ids]
-        data = self.spelt[_ranges(self.spelt_at[ids], size)]
-        ends = np.append(0, np.cumsum(size))[bounds]
+        _, offsets, raw = self.spelt.take(pa.array(ids)).buffers()
+        starts = np.frombuffer(offsets, dtype=np.int64)[: len(ids) + 1]
+        data = np.frombuffer(raw, dtype=np.uint8)[: starts[-1]] if raw is not None else np.zeros(0, dtype=np.uint8)
+        ends = starts[bounds]
         begin = ends[:-1]
         lead = begin[begin < ends[1:]]
         lead = lead[data[lead] == 32]
@@ -217,7 +216,7 @@ class Lattices:
         self.piece = np.empty(n, dtype=np.int32)
         self.length = np.empty(n, dtype=np.int32)
         for p, rank, length, piece in found:
-            to = self.first[p] + rank
+            to = self.first[p + 1] - 1 - rank  # the longest first: it is the likeliest, and picks try arcs in order
             self.piece[to], self.length[to] = piece, length
         self.node = np.repeat(np.arange(size, dtype=np.int32), count)
         self._backward(v, unit_end, count)
@@ -458,9 +457,12 @@ def sample_chunk(v: Vocabulary, texts: list[bytes], keys: np.ndarray, k: int) ->
             u = _uniform(keys[own], inner[at], other - lat.first[lat.node[other]] + (r << 8) + (1 << 20), bits=32)
             with np.errstate(over="ignore"):
                 x = phi - np.log(np.exp(np.minimum(phi - value[own], 700)) - np.log(u))
+            runs = np.flatnonzero(np.diff(own, prepend=-1))  # siblings come text by text
             for best, p, a in slots:
                 best[open_texts], p[open_texts], a[open_texts] = -np.inf, -1, -1
-                np.maximum.at(best, own, x)
+                if not len(own):
+                    continue
+                best[own[runs]] = np.maximum.reduceat(x, runs)
                 is_best = np.flatnonzero(x == best[own])
                 a[own[is_best]], p[own[is_best]] = other[is_best], at[is_best]
                 x[is_best] = -np.inf
