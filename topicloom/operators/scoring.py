@@ -107,13 +107,16 @@ def constrained_scores(scores: DataFrame, meta: DataFrame, children: DataFrame,
     """(merged_id, level, name, score, rank): levels 0 and 1 as they rank; levels 2 and 3 only for topics below one of
     the document's best `top` pairs of level 0 and level 1.
 
-    Eligibility is an equi-join on the pair, made before any score of levels 2 and 3 is looked at.
+    A score of levels 2 and 3 looks up the pairs that open its topic, so a document meets its own topics only and not all that
+    lie below its pairs.
     """
     upper = scores.where("level <= 1")
     best = Window.partitionBy("merged_id", "level").orderBy(F.desc("score"), "name")
     tops = upper.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top)
     l0 = tops.where("level = 0").select("merged_id", F.col("name").alias("l0"))
     l1 = tops.where("level = 1").select("merged_id", F.col("name").alias("l1"))
-    allowed = l0.join(l1, "merged_id").join(constraints(children, meta), ["l0", "l1"]).select("merged_id", F.col("descendant").alias("name")).distinct()
-    lower = scores.where("level >= 2").join(allowed, ["merged_id", "name"], "left_semi")
+    below, opened = scores.where("level >= 2"), constraints(children, meta).withColumnRenamed("descendant", "name")
+    asked = below.select("merged_id", "name").join(opened, "name")
+    allowed = asked.join(l0.join(l1, "merged_id"), ["merged_id", "l0", "l1"], "left_semi").select("merged_id", "name").distinct()
+    lower = below.join(allowed, ["merged_id", "name"], "left_semi")
     return rank_per_level(upper.unionByName(lower.select(*upper.columns)), "merged_id", emit)
