@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from topicloom.functions import vectors
 from topicloom.operators import scoring
-from topicloom.plans import packed, pipeline
+from topicloom.plans import analysis, packed, pipeline
 
 
 def shuffled(df) -> int:
@@ -87,3 +89,29 @@ def test_float_scores_come_back_exact(spark):
     values = [i / 10000 for i in range(0, 20001, 7)] + [123.4567]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r.e for r in df.select(packed.exact(F.col("v").cast("float")).alias("e")).collect()] == values
+
+
+def test_named_vectors_shuffle_the_rows_that_name_them(spark):
+    rng = random.Random(4)
+    known = {f"t{i}": [rng.uniform(-1, 1) for _ in range(48)] for i in range(30)}
+    table = spark.createDataFrame(list(known.items()), "term string, vector array<double>")
+    words = [(f"d{d}", t, rng.randrange(1, 5)) for d in range(50) for t in rng.sample([*known, "unknown"], 20)] + [("none", "unknown", 1)]
+    out = analysis.sentence_vectors(spark.createDataFrame(words, "id string, term string, tf long"), table, "id")
+    got = {r.id: r.vector for r in out.collect()}
+    assert set(got) == {f"d{d}" for d in range(50)}
+    unit = {t: np.array(v) / np.linalg.norm(v) for t, v in known.items()}
+    for d, v in got.items():
+        want = sum(tf * unit[t] for i, t, tf in words if i == d and t in unit)
+        assert np.allclose(v, want / np.linalg.norm(want))
+    assert shuffled(out) <= len(words) + len(known)  # not a row for each of 48 elements
+    entities = analysis.entity_vectors(
+        spark.createDataFrame([("t1", "t1", 2), ("t1", "t2", 1), ("t2", "t2", 1), ("x", "unknown", 1)], "id string, mention string, n long"),
+        table.withColumnRenamed("term", "mention"), "id", exclude_self=True,
+    )
+    got = {r.id: r.vector for r in entities.collect()}
+    assert np.allclose(got["t1"], unit["t2"]) and not any(got["t2"]) and not any(got["x"]) and len(got) == 3
+
+
+def test_vectors_of_unequal_length_are_summed_to_the_longest(spark):
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [1.0, 0.0, 5.0]), ("b", [3.0]), ("c", None)], "k string, v array<double>")
+    assert {r.k: r.v for r in vectors.vector_sum(rows, ["k"], "v", unit=False).collect()} == {"a": [2.0, 2.0, 5.0], "b": [3.0], "c": None}

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from topicloom.functions import match
 from topicloom.functions.text import format_name
-from topicloom.functions.vectors import dot
-from topicloom.operators.scoring import combine, constraints, rank_per_level, term_counts, tfidf
+from topicloom.functions.vectors import MAX_BROADCAST_VECTORS, dot
+from topicloom.operators.scoring import MAX_BROADCAST_WEIGHTS, combine, constraints, rank_per_level, term_counts, tfidf
 from topicloom.plans.analysis import entity_vectors, mention_counts, sentence_vectors
 
 #: A table that is read more than once: (name, build) to a DataFrame.
@@ -119,22 +119,30 @@ def topic_entity_vectors(pages: DataFrame, titles: list[str], vectors: DataFrame
 
 
 def similarities(pairs: DataFrame, docs: Embedded, fields: Embedded) -> DataFrame:
-    """(id, name, dense, sparse, entity) of the given pairs (id, name) and no others; what a text lacks is similar to nothing."""
+    """(id, name, dense, sparse, entity) of the given pairs (id, name) and no others; what a text lacks is similar to nothing.
+
+    The topics' side is broadcast while it is small, so pairs with a text's vectors or terms are multiplied out in place and
+    only their similarities are shuffled.
+    """
 
     def vectors(part: str) -> DataFrame:
         left = getattr(docs, part).select("id", F.col("vector").alias("v"))
         right = getattr(fields, part).select(F.col("id").alias("name"), F.col("vector").alias("w"))
-        return pairs.join(left, "id").join(right, "name").select("id", "name", dot(F.col("v"), F.col("w")).alias(part))
+        return pairs.join(left, "id").join(small(right, MAX_BROADCAST_VECTORS), "name").select("id", "name", dot(F.col("v"), F.col("w")).alias(part))
 
     a = docs.sparse.select("id", "term", F.col("weight").alias("v"))
     b = fields.sparse.select(F.col("id").alias("name"), "term", F.col("weight").alias("w"))
-    shared = pairs.join(a, "id").join(b, ["name", "term"]).groupBy("id", "name").agg(F.sum(F.col("v") * F.col("w")).alias("sparse"))
+    shared = pairs.join(a, "id").join(small(b, MAX_BROADCAST_WEIGHTS), ["name", "term"]).groupBy("id", "name").agg(F.sum(F.col("v") * F.col("w")).alias("sparse"))
     out = pairs
     for part, table in (("dense", vectors("dense")), ("sparse", shared), ("entity", vectors("entity"))):
         out = out.join(table, ["id", "name"], "left").withColumn(part, settle(F.coalesce(part, F.lit(0.0))))
     return out
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def averaged(scores: DataFrame) -> DataFrame:
     return scores.withColumn("score", settle(combine("unit", *[F.col(c) for c in ("dense", "sparse", "entity")])))
 
