@@ -897,3 +897,23 @@ def test_without_keys(spark, docs):
     keys = spark.createDataFrame([(2,), (None,)], "id long")
     out = without_keys(docs, keys, {"id": F.col("doc_id")})
     assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4, 5, 6, 7, 8] and out.columns == docs.columns
+
+
+def test_few_edges_are_settled_without_rounds(spark, monkeypatch):
+    import random
+
+    from topicloom.llm import components as module
+
+    rng = random.Random(8)
+    edges = [(rng.randrange(-50, 150), rng.randrange(-50, 150)) for _ in range(120)] + [(k, k + 1) for k in range(1000, 1400)] + [(5000, k) for k in range(4000, 4300)]
+    found = lambda: sorted(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).select("node", "component").collect()))
+    with monkeypatch.context() as m:
+        m.setattr(module, "TASK_EDGES", 0)
+        rounds = found()
+
+    def star(*_):
+        raise AssertionError("a round of seven shuffles")
+
+    monkeypatch.setattr(module, "_large_star", star)
+    assert found() == rounds
+    assert dict(rounds)[1399] == 1000 and dict(rounds)[5000] == 4000
