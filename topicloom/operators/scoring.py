@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +24,24 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, vocabulary: DataFra
     return long if vocabulary is None else long.join(vocabulary.select("term"), "term", "left_semi")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows, terms, tfs = [], [], []
+        for i, text in enumerate(b.column(b.num_columns - 1).to_pylist()):
+            own = Counter(text.split()) if text else {}
+            rows.extend([i] * len(own))
+            terms.extend(own)
+            tfs.extend(own.values())
+        kept = b.select(list(range(b.num_columns - 1))).take(pa.array(rows, pa.int32()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(terms, pa.string()), pa.array(tfs, pa.int64())], [*kept.schema.names, "term", "tf"])
+
+
+def text_counts(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """(keys, term, tf) of each row's own cleaned text, counted where the row is; rows alike in `keys` aren't added up."""
+    kept = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return docs.select(*keys, text_col).mapInArrow(_counted, f"{kept}, term string, tf bigint")
+
+
 def tfidf(counts: DataFrame, id_col: str, n_docs: Column | None = None, document_frequency: DataFrame | None = None) -> DataFrame:
     """(id_col, term, weight): tf * log2(N / df), of unit length by document; terms in every document weigh nothing.
 
@@ -45,6 +67,49 @@ def sparse_cosine(docs: DataFrame, fields: DataFrame, doc_id: str, field_id: str
     return a.join(b, "term").groupBy(doc_id, field_id).agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
 
 
+def frequent_terms(table: DataFrame, most: int) -> Column | None:
+    """The condition on `df` of the most frequent terms of (term, df, f), of which no more than `most` entries of f, and one a
+    term, are held; null where all are."""
+    size = F.coalesce(F.size("f"), F.lit(0)) + 1
+    octave = F.floor(F.log2("df"))
+    sizes = table.groupBy(octave.alias("o")).agg(F.sum(size).alias("n")).orderBy(F.desc("o")).collect()
+    if sum(r.n for r in sizes) <= most:
+        return None
+    total, low = 0, 64
+    for r in sizes:
+        total += r.n
+        if total > most:
+            break
+        low = r.o
+    return octave >= low
+
+
+def tfidf_cosine(counts: DataFrame, frequency: DataFrame, n_docs: Column, fields: DataFrame, doc_id: str, field_id: str, keep: Callable) -> DataFrame:
+    """sparse_cosine of tfidf(counts) and `fields` in one pass over `counts` (doc_id, term, tf).
+
+    A term's row has its weight and its inverted list, and lengths are divided by at the end, so documents stay where they are.
+    Rows are broadcast while they have at most MAX_BROADCAST_WEIGHTS entries; of a larger vocabulary the most frequent terms'
+    are, and the occurrences of the others, of which a text has few, are dealt by term.
+    """
+    lists = fields.groupBy("term").agg(F.collect_list(F.struct(F.col(field_id).alias("field"), F.col("weight").alias("x"))).alias("f"))
+    table = keep("term-lists", lambda: frequency.join(lists, "term", "left").select("term", "df", F.log2(n_docs / F.col("df")).alias("idf"), "f").where("idf <> 0"))
+    some = frequent_terms(table, MAX_BROADCAST_WEIGHTS)
+    mine = counts.select(doc_id, "term", "tf")
+    if some is None:
+        wide = mine.join(F.broadcast(table), "term").select(doc_id, "tf", "idf", "f")
+    else:
+        often = table.where(some)
+        others = mine.join(F.broadcast(often.select("term")), "term", "left_anti").join(table.where(~some), "term")
+        wide = mine.join(F.broadcast(often), "term").select(doc_id, "tf", "idf", "f").unionByName(others.select(doc_id, "tf", "idf", "f"))
+    w = F.col("tf") * F.col("idf")
+    own = F.struct(F.lit(None).cast(fields.schema[field_id].dataType).alias("field"), w.alias("x"))  # adds up to the squared length
+    pairs = wide.select(doc_id, w.alias("w"), F.inline(F.concat(F.array(own), F.coalesce("f", F.slice(F.array(own), 1, 0)))))
+    sums = pairs.groupBy(doc_id, "field").agg(F.sum(F.col("w") * F.col("x")).alias("x"))
+    length = F.sqrt(F.max(F.when(F.col("field").isNull(), F.col("x"))).over(Window.partitionBy(doc_id)))
+    out = sums.withColumn("length", length).where("field is not null")
+    return out.select(doc_id, F.col("field").alias(field_id), (F.col("x") / F.col("length")).alias("similarity"))
+
+
 def dense_cosine(docs: DataFrame, fields: DataFrame, doc_vec: str = "embedding", field_vec: str = "field_vector") -> DataFrame:
     """Every document against every field, with `similarity`. The fields are the stated query set: a taxonomy's
     vectors, packed into one array that each document is mapped over while they are few enough, else joined block
