@@ -28,12 +28,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, terms, tfs = [], [], []
         for i, text in enumerate(b.column(b.num_columns - 1).to_pylist()):
-            own = Counter(text.split()) if text else {}
+            own = Counter(text.encode().split()) if text else {}  # of bytes: white space as `tokens` has it
             rows.extend([i] * len(own))
             terms.extend(own)
             tfs.extend(own.values())
         kept = b.select(list(range(b.num_columns - 1))).take(pa.array(rows, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(terms, pa.string()), pa.array(tfs, pa.int64())], [*kept.schema.names, "term", "tf"])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(tfs, pa.int64())], [*kept.schema.names, "term", "tf"])
 
 
 def text_counts(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
@@ -84,6 +84,25 @@ def frequent_terms(table: DataFrame, most: int) -> Column | None:
     return octave >= low
 
 
+def with_terms(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """`rows` with the columns of their term's row in (term, df, f, ...), which is broadcast while it has at most
+    MAX_BROADCAST_WEIGHTS entries; else the most frequent terms are, and the rows of the others are dealt by term."""
+    some = frequent_terms(table, MAX_BROADCAST_WEIGHTS)
+    if some is None:
+        return rows.join(F.broadcast(table), "term")
+    often = table.where(some)
+    others = rows.join(F.broadcast(often.select("term")), "term", "left_anti").join(table.where(~some), "term")
+    return rows.join(F.broadcast(often), "term").unionByName(others)
+
+
+def squared_lengths(counts: DataFrame, frequency: DataFrame, n_docs: Column, doc_id: str) -> DataFrame:
+    """(doc_id, squared): the squared length of a document's row in tfidf(counts) before it is brought to unit length; documents
+    without weights are missing."""
+    idf = frequency.select("term", "df", F.log2(n_docs / F.col("df")).alias("idf"), F.array().cast("array<int>").alias("f")).where("idf <> 0")
+    w = F.col("tf") * F.col("idf")
+    return with_terms(counts.select(doc_id, "term", "tf"), idf).groupBy(doc_id).agg(F.sum(w * w).alias("squared"))
+
+
 def tfidf_cosine(counts: DataFrame, frequency: DataFrame, n_docs: Column, fields: DataFrame, doc_id: str, field_id: str, keep: Callable) -> DataFrame:
     """sparse_cosine of tfidf(counts) and `fields` in one pass over `counts` (doc_id, term, tf).
 
@@ -93,14 +112,7 @@ def tfidf_cosine(counts: DataFrame, frequency: DataFrame, n_docs: Column, fields
     """
     lists = fields.groupBy("term").agg(F.collect_list(F.struct(F.col(field_id).alias("field"), F.col("weight").alias("x"))).alias("f"))
     table = keep("term-lists", lambda: frequency.join(lists, "term", "left").select("term", "df", F.log2(n_docs / F.col("df")).alias("idf"), "f").where("idf <> 0"))
-    some = frequent_terms(table, MAX_BROADCAST_WEIGHTS)
-    mine = counts.select(doc_id, "term", "tf")
-    if some is None:
-        wide = mine.join(F.broadcast(table), "term").select(doc_id, "tf", "idf", "f")
-    else:
-        often = table.where(some)
-        others = mine.join(F.broadcast(often.select("term")), "term", "left_anti").join(table.where(~some), "term")
-        wide = mine.join(F.broadcast(often), "term").select(doc_id, "tf", "idf", "f").unionByName(others.select(doc_id, "tf", "idf", "f"))
+    wide = with_terms(counts.select(doc_id, "term", "tf"), table).select(doc_id, "tf", "idf", "f")
     w = F.col("tf") * F.col("idf")
     own = F.struct(F.lit(None).cast(fields.schema[field_id].dataType).alias("field"), w.alias("x"))  # adds up to the squared length
     pairs = wide.select(doc_id, w.alias("w"), F.inline(F.concat(F.array(own), F.coalesce("f", F.slice(F.array(own), 1, 0)))))

@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicloom.functions import match
+from topicloom.functions import match, similar
 from topicloom.functions.text import format_name
 from topicloom.functions.vectors import MAX_BROADCAST_VECTORS, dot
-from topicloom.operators.scoring import MAX_BROADCAST_WEIGHTS, combine, constraints, rank_per_level, term_counts, tfidf
+from topicloom.operators.scoring import MAX_BROADCAST_FIELDS, MAX_BROADCAST_WEIGHTS, combine, constraints, rank_per_level, squared_lengths, term_counts, text_counts, tfidf
 from topicloom.plans.analysis import entity_vectors, mention_counts, sentence_vectors
 
 #: A table that is read more than once: (name, build) to a DataFrame.
@@ -153,16 +154,112 @@ def pairs_with(ids: DataFrame, topics: DataFrame) -> DataFrame:
     return ids.select("id", F.explode(names.scalar()).alias("name"))
 
 
-def score_corpus(texts: DataFrame, fields: DataFrame, children: DataFrame, models: Models, keep: Keep, top: int = 3, emit: int = 10, constrained: bool = True) -> DataFrame:
+def _matrix(rows: list, key: str) -> tuple[dict[str, int], list[list[float]]] | None:
+    """The row of each key and the vectors; None unless all have one length and every element, and no key occurs twice."""
+    place, vectors = {r[key]: i for i, r in enumerate(rows)}, [r.vector for r in rows]
+    if len(place) < len(rows) or any(v is None or len(v) != len(vectors[0]) or None in v for v in vectors):
+        return None
+    return place, vectors
+
+
+def _few(df: DataFrame, most: int) -> list | None:
+    rows = df.limit(most + 1).collect()
+    return rows if len(rows) <= most else None
+
+
+def held(meta: DataFrame, fields: Embedded, models: Models) -> tuple[similar.Texts, similar.Topics] | None:
+    """What every task holds to embed texts and to compare them with the topics (name, level); None where that is more than is
+    broadcast, or vectors are of several lengths."""
+    names = _few(meta, MAX_BROADCAST_FIELDS)
+    tables = [_few(df.select(key, "vector"), MAX_BROADCAST_VECTORS) for df, key in ((models.words, "term"), (models.entities, "mention"), (fields.dense, "id"), (fields.entity, "id"))]
+    weights = None if names is None or None in tables else _few(fields.sparse, MAX_BROADCAST_WEIGHTS)
+    if weights is None:
+        return None
+    words, entities, dense, entity = matrices = [_matrix(t, k) for t, k in zip(tables, ("term", "mention", "id", "id"), strict=True)]
+    if None in matrices:
+        return None
+    sizes = [len(v[0]) if v else 0 for _, v in (words, entities)]
+    if any(v and len(v[0]) != n for (_, v), n in zip((dense, entity), sizes, strict=True)):
+        return None
+    names = sorted(names, key=lambda r: (r.level, r.name.encode()))
+    number = {r.name: i for i, r in enumerate(names)}
+
+    def by_topic(place: dict, vectors: list, n: int) -> np.ndarray:
+        out = np.zeros((len(names), n))
+        for name, i in place.items():
+            if name in number:
+                out[number[name]] = vectors[i]
+        return out
+
+    own = fields.sparse.select("term").distinct()
+    idf = {r.term: r.idf for r in models.frequency.join(F.broadcast(own), "term").select("term", F.log2(models.n / F.col("df")).alias("idf")).collect()}
+    terms = {t: i for i, t in enumerate(sorted(idf))}
+    entries = sorted((terms[r.term], number[r.id], r.weight) for r in weights if r.id in number and r.term in terms)
+    starts = np.searchsorted(np.array([e[0] for e in entries], dtype=np.int64), np.arange(len(terms) + 1))
+    texts = similar.Texts(
+        {t.encode(): i for t, i in words[0].items()}, similar.unit(np.array(words[1], dtype=float).reshape(len(words[1]), sizes[0])),
+        models.mentions, entities[0], np.array(entities[1], dtype=float).reshape(len(entities[1]), sizes[1]),
+        {t.encode(): i for t, i in terms.items()}, np.array([idf[t] for t in terms], dtype=float),
+    )
+    topics = similar.Topics(
+        [r.name for r in names], np.array([r.level for r in names], dtype=np.int64), by_topic(*dense, sizes[0]), by_topic(*entity, sizes[1]),
+        starts, np.array([e[1] for e in entries], dtype=np.int64), np.array([e[2] for e in entries], dtype=float), DIGITS,
+    )
+    return texts, topics
+
+
+def embedded(texts: DataFrame, models: Models, by: similar.Texts, keep: Keep, counts: DataFrame | None = None) -> DataFrame:
+    """(id, dense, entity, terms, weights), a row a text: its vectors and its tf-idf weights of the topics' terms. `texts` are
+    cleaned and identifiers distinct; `counts` (id, term, tf) are theirs where they are known."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def build() -> DataFrame:
+        own = text_counts(texts, ["id"], "text") if counts is None else counts
+        lengths = squared_lengths(own, models.frequency, models.n, "id")
+        return texts.select("id", "text").join(lengths, "id", "left").mapInArrow(by.embed, f"id {kind}, {similar.EMBEDDED}")
+
+    return keep("docs-embedded", build)
+
+
+def all_similarities(texts: DataFrame, fields: DataFrame, topics: DataFrame, models: Models, keep: Keep, counts: DataFrame | None = None) -> DataFrame:
+    """(id, name, dense, sparse, entity) of every text with every topic of `topics` (name, level)."""
+    f = embed(fields.select(F.col("name").alias("id"), "text"), models, "topics", keep)
+    in_place = held(topics.select("name", "level"), f, models)
+    if in_place is None:
+        return similarities(pairs_with(texts.select("id"), topics), embed(texts, models, "docs", keep), f)
+    docs = embedded(texts, models, in_place[0], keep, counts)
+    return docs.mapInArrow(similar.similar(in_place[1]), f"id {texts.schema['id'].dataType.simpleString()}, {similar.SIMILAR}")
+
+
+def score_corpus(
+    texts: DataFrame, fields: DataFrame, children: DataFrame, models: Models, keep: Keep, top: int = 3, emit: int = 10, constrained: bool = True, counts: DataFrame | None = None
+) -> DataFrame:
     """(id, level, name, score, rank) of `texts` (id, text) against `fields` (name, level, text).
 
     Levels 0 and 1 are scored for every document. Of levels 2 and 3 only topics below one of the document's best `top`
     pairs of level 0 and level 1 are, before any similarity is computed; zeros can be among the best. Names of topics must
     be distinct. With `constrained` off every topic is scored.
+
+    A text is embedded once and compared where its row is, with a taxonomy that every task holds; a larger one is joined.
     """
     require_distinct(fields, "name")
-    d = embed(texts, models, "docs", keep)
     f = embed(fields.select(F.col("name").alias("id"), "text"), models, "fields", keep)
+    in_place = held(fields.select("name", "level"), f, models)
+    if in_place is None:
+        return _scored_by_joins(texts, fields, children, models, f, keep, top, emit, constrained)
+    by, topics = in_place
+    docs, kind = embedded(texts, models, by, keep, counts), f"id {texts.schema['id'].dataType.simpleString()}, {similar.RANKED}"
+    if not constrained:
+        return docs.mapInArrow(similar.best_topics(topics, emit), kind)
+    opened: dict[tuple[str, str], list[str]] = {}
+    for r in constraints(children, fields.select("name", "level")).collect():
+        opened.setdefault((r.l0, r.l1), []).append(r.descendant)
+    upper = docs.mapInArrow(similar.best_topics(topics.only(topics.levels <= 1), emit), kind)
+    return upper.unionByName(keep("allowed-pairs", lambda: docs.mapInArrow(similar.best_opened(topics, opened, top, emit), kind)))
+
+
+def _scored_by_joins(texts: DataFrame, fields: DataFrame, children: DataFrame, models: Models, f: Embedded, keep: Keep, top: int, emit: int, constrained: bool) -> DataFrame:
+    d = embed(texts, models, "docs", keep)
     ids, meta = texts.select("id"), fields.select("name", "level")
     upper = averaged(similarities(pairs_with(ids, meta.where("level <= 1") if constrained else meta), d, f)).join(meta, "name")
     upper = keep("upper-scores", lambda: upper.select("id", "level", "name", "score"))
